@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,19 +45,18 @@ def attach(
     top = top.withColumn("_found", F.lit(True)) if sizes is None else top.select(*on).join(known, on, "left")
     hot = top.select(*on, F.struct(*carried).alias("_hot"))
 
-    is_hot = F.col("_hot").isNotNull()
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(rule.salts)) + 1
+    no_key = " or ".join(f"{c} is null" for c in on)
+    spread = f"pmod(xxhash64({', '.join(salt_by)}), {rule.salts}) + 1"
     marked = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.when(is_hot | no_key, spread).otherwise(F.lit(0).cast("bigint"))
+        "_salt", F.expr(f"if(_hot is not null or {no_key}, {spread}, 0)")
     )
     # On the side of the figures the salt is always 0. It is not written as a literal: the optimizer would
     # turn that into a filter on the rows and drop the salt from the shuffle key.
-    zero = F.pmod(F.xxhash64(on[0]), F.lit(1))
-    cold = known.select(*on, zero.alias("_salt"), F.struct(*carried).alias("_cold"))
+    zero = f"pmod(xxhash64({on[0]}), 1) as _salt"
+    cold = known.selectExpr(*on, zero, f"struct({', '.join(carried)}) as _cold")
 
     joined = marked.join(cold, [*on, "_salt"], "left")
-    both = {c: F.when(is_hot, F.col(f"_hot.{c}")).otherwise(F.col(f"_cold.{c}")) for c in carried}
     if how == "inner":
-        joined = joined.where(both["_found"])
-    return joined.select(*rows.columns, *[both[c].alias(c) for c in values])
+        joined = joined.where("if(_hot is not null, _hot._found, _cold._found)")
+    picked = [f"if(_hot is not null, _hot.{c}, _cold.{c}) as {c}" for c in values]
+    return joined.selectExpr(*rows.columns, *picked)

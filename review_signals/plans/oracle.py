@@ -118,8 +118,8 @@ predictions as (
   select cast(event_id as varchar) as review_id, cast(user_id as varchar) as product_id,
          event_type as product_category, cast(cast(floor(value) as int) % 5 + 1 as int) as star_rating,
          case when cast(json_extract_string(props, '$.k') as int) % 50 <> 0
-              then cast(value / 500 >= 0.1 as int)::double end as prediction,
-         value / 500 as fraud_probability, ts as "timestamp"
+              then cast(value / 497 >= 0.1 as int)::double end as prediction,
+         value / 497 as fraud_probability, ts as "timestamp"
   from events
 )"""
 
@@ -244,16 +244,17 @@ ORACLE: dict[str, str] = {
     "json_encode": f"with {_DOCS} select review_id as key, {_MESSAGE_FIELDS}::varchar as value from docs",
     "json_decode": f"""with {_DOCS}, {_CUT}
         select review_id, customer_id, product_id, product_category, star_rating, helpful_votes, total_votes,
-               verified_purchase, review_body, cast(review_date as varchar) as review_date, is_likely_fraud
+               verified_purchase, review_body, cast(review_date as varchar) as review_date,
+               cast(is_likely_fraud as varchar) as is_likely_fraud
         from split_up where not is_cut""",
     "json_dead_letters": f"""with {_DOCS}, {_CUT}
         select substr(message, 1, 40) as malformed, count(*) as messages from split_up where is_cut group by 1""",
-    "curate_reviews": f"""with {_RAW} select * from raw
+    "curate_reviews": f"""with {_RAW} select * replace (cast(review_date as varchar) as review_date) from raw
         where product_category in ('MEDIUM', 'PROMO', 'SMALL') and customer_id is not null
           and product_id is not null and star_rating between 1 and 5""",
     "epoch_day_to_date": f"""with {_RAW}
         select cast(date_diff('day', date '1970-01-01', review_date) as bigint) as review_date,
-               review_date as as_date, count(*) as reviews from raw r group by r.review_date""",
+               cast(review_date as varchar) as as_date, count(*) as reviews from raw r group by r.review_date""",
     "category_counts": _on_reviews("select product_category, count(*) as reviews from reviews group by 1"),
     "rating_counts": _on_reviews("select star_rating, count(*) as reviews from reviews group by 1"),
     "verified_counts": _on_reviews("select verified_purchase, count(*) as reviews from reviews group by 1"),
@@ -289,7 +290,7 @@ ORACLE: dict[str, str] = {
                   round(coalesce(sum(n) filter (n > more_than), 0)::double / sum(n), 6) as review_share
            from per, (values (10), (49)) l(more_than) group by 1"""
     ),
-    "daily_velocity": _on_reviews("select review_date, count(*) as reviews from reviews group by 1"),
+    "daily_velocity": _on_reviews("select cast(review_date as varchar) as review_date, count(*) as reviews from reviews group by 1"),
     "weekday_velocity": _on_reviews(
         """select cast((dayofweek(review_date) + 6) % 7 as int) as weekday, count(*) as days,
                   sum(n)::bigint as reviews, round(avg(n), 6) as mean_per_day
@@ -299,7 +300,7 @@ ORACLE: dict[str, str] = {
         """, daily as (select review_date, count(*) as reviews from reviews group by 1),
            compared as (select *, avg(reviews) over (order by review_date
                                                      rows between 7 preceding and 1 preceding) as base from daily)
-           select review_date, reviews, round(base, 6) as baseline, round(reviews / base, 6) as ratio
+           select cast(review_date as varchar) as review_date, reviews, round(base, 6) as baseline, round(reviews / base, 6) as ratio
            from compared where reviews >= base * 1.35"""
     ),
     "top_reviewers": _on_reviews(
@@ -332,12 +333,14 @@ ORACLE: dict[str, str] = {
         """select count(*) as reviews, count(distinct customer_id) as reviewers,
                   count(distinct product_id) as products from reviews"""
     ),
-    "burst_window": _on_windows("select review_id, customer_id, review_date, rolling_24h_count from windowed"),
+    "burst_window": _on_windows(
+        "select review_id, customer_id, cast(review_date as varchar) as review_date, rolling_24h_count from windowed"
+    ),
     "reviewer_window_stats": _on_windows(
         "select review_id, reviewer_total_reviews, round(reviewer_avg_rating, 6) as reviewer_avg_rating from windowed"
     ),
     "burst_window_24h": """
-        select event_id, user_id, ts,
+        select event_id, user_id,
                count(*) over (partition by user_id order by ts
                               range between interval 24 hours preceding and current row) as rolling_24h_count
         from events""",
@@ -349,7 +352,7 @@ ORACLE: dict[str, str] = {
     "h3_extreme_bias": _on_labeled("select review_id, h3_extreme_bias from labeled"),
     "label_reviews": _on_labeled(
         """select review_id, customer_id, product_id, product_category, star_rating, total_votes, helpful_votes,
-                  verified_purchase, review_date, h1_low_helpful, h2_burst_activity, h3_extreme_bias, is_likely_fraud
+                  verified_purchase, cast(review_date as varchar) as review_date, h1_low_helpful, h2_burst_activity, h3_extreme_bias, is_likely_fraud
            from labeled"""
     ),
     "heuristic_counts": _on_labeled(
@@ -467,15 +470,15 @@ ORACLE: dict[str, str] = {
         ),
         f", {_FEATURES}",
     ),
-    "apply_threshold": "select event_id, cast(value / 500 >= 0.05 as int)::double as prediction from events",
+    "apply_threshold": "select event_id, cast(value / 497 >= 0.05 as int)::double as prediction from events",
     "monitor_totals": f"""with {_PREDICTIONS}
         select count(*) as scored, count(*) filter (prediction = 1) as flagged,
                round(flagged / scored, 6) as flag_rate from predictions""",
     "monitor_recent": f"""with {_PREDICTIONS}
-        select "timestamp", review_id, product_id, product_category, star_rating,
+        select strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') as "timestamp", review_id, product_id, product_category, star_rating,
                round(fraud_probability, 4) as fraud_probability,
                case prediction when 1 then 'Fraud' when 0 then 'Legit' end as prediction
-        from predictions order by "timestamp" desc, review_id limit 50""",
+        from predictions order by predictions."timestamp" desc, review_id limit 50""",
     "monitor_product_alerts": f"""with {_PREDICTIONS}
         select product_id, product_category, count(prediction) as fraud_count,
                round(avg(fraud_probability), 4) as avg_fraud_prob
@@ -487,7 +490,8 @@ ORACLE: dict[str, str] = {
         hits as (select *, time_bucket(interval 3 hours, "timestamp") as slot from predictions where prediction = 1),
         placed as (select *, slot as window_start from hits
                    union all select *, slot - interval 3 hours as window_start from hits)
-        select window_start, window_start + interval 6 hours as window_end, product_category,
+        select cast(p.window_start as varchar) as window_start,
+               cast(p.window_start + interval 6 hours as varchar) as window_end, product_category,
                count(*) as fraud_count, round(avg(fraud_probability), 6) as avg_fraud_prob
-        from placed group by 1, 2, 3 having count(*) >= 3""",
+        from placed p group by p.window_start, product_category having count(*) >= 3""",
 }

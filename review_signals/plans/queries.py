@@ -42,6 +42,11 @@ def rounded(rows: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return rows.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def as_text(rows: DataFrame, *columns: str) -> DataFrame:
+    """Dates, times and flags with gaps as text: a result then reads the same in every client."""
+    return rows.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 # --- scans and messages ---------------------------------------------------------------------------
 
 
@@ -61,23 +66,26 @@ def json_encode(spark, d):
     return J.encode_messages(D.document_reviews(spark, d))
 
 
-@query
-def json_decode(spark, d):
-    encoded = J.encode_messages(D.document_reviews(spark, d))
-    # Every eleventh text is cut in the middle of the message, which makes it a dead letter.
+def _damaged_messages(spark, d):
+    """Encoded reviews, about one in eleven of them cut off, as some transport might do."""
     text = F.col("value")
     cut = F.when(F.length(text) % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
-    envelopes = encoded.select(cut.cast("binary").alias("value"), F.lit(None).cast("timestamp").alias("timestamp"))
-    return J.valid_messages(J.decode_messages(envelopes)).select(*MESSAGE_COLUMNS)
+    return J.encode_messages(D.document_reviews(spark, d)).select(
+        cut.cast("binary").alias("value"), F.lit(None).cast("timestamp").alias("timestamp")
+    )
+
+
+@query
+def json_decode(spark, d):
+    decoded = J.valid_messages(J.decode_messages(_damaged_messages(spark, d))).select(*MESSAGE_COLUMNS)
+    return as_text(decoded, "is_likely_fraud")
 
 
 @query
 def json_dead_letters(spark, d):
-    encoded = J.encode_messages(D.document_reviews(spark, d))
-    text = F.col("value")
-    cut = F.when(F.length(text) % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
-    envelopes = encoded.select(cut.cast("binary").alias("value"), F.lit(None).cast("timestamp").alias("timestamp"))
-    return J.dead_letters(J.decode_messages(envelopes)).groupBy("malformed").agg(F.count("*").alias("messages"))
+    return J.dead_letters(J.decode_messages(_damaged_messages(spark, d))).groupBy("malformed").agg(
+        F.count("*").alias("messages")
+    )
 
 
 # --- curation -------------------------------------------------------------------------------------
@@ -85,15 +93,14 @@ def json_dead_letters(spark, d):
 
 @query
 def curate_reviews(spark, d):
-    return C.curate(D.raw_reviews(spark, d), CURATED_CATEGORIES)
+    return as_text(C.curate(D.raw_reviews(spark, d), CURATED_CATEGORIES), "review_date")
 
 
 @query
 def epoch_day_to_date(spark, d):
     days = D.raw_reviews(spark, d).select("review_date")
-    return days.groupBy("review_date", date_from_epoch_days(F.col("review_date")).alias("as_date")).agg(
-        F.count("*").alias("reviews")
-    )
+    dated = days.groupBy("review_date", date_from_epoch_days(F.col("review_date")).alias("as_date"))
+    return as_text(dated.agg(F.count("*").alias("reviews")), "as_date")
 
 
 # --- profiles -------------------------------------------------------------------------------------
@@ -151,7 +158,7 @@ def heavy_reviewers(spark, d):
 
 @query
 def daily_velocity(spark, d):
-    return P.daily_velocity(D.reviews(spark, d))
+    return as_text(P.daily_velocity(D.reviews(spark, d)), "review_date")
 
 
 @query
@@ -161,7 +168,7 @@ def weekday_velocity(spark, d):
 
 @query
 def velocity_spikes(spark, d):
-    return rounded(P.velocity_spikes(D.reviews(spark, d)), "baseline", "ratio")
+    return as_text(rounded(P.velocity_spikes(D.reviews(spark, d)), "baseline", "ratio"), "review_date")
 
 
 @query
@@ -199,9 +206,8 @@ def entity_counts(spark, d):
 
 @query
 def burst_window(spark, d):
-    return L.with_reviewer_windows(D.reviews(spark, d)).select(
-        "review_id", "customer_id", "review_date", "rolling_24h_count"
-    )
+    windows = L.with_reviewer_windows(D.reviews(spark, d))
+    return as_text(windows.select("review_id", "customer_id", "review_date", "rolling_24h_count"), "review_date")
 
 
 @query
@@ -215,7 +221,7 @@ def reviewer_window_stats(spark, d):
 @query
 def burst_window_24h(spark, d):
     events = D.table(spark, d, "events").select("event_id", "user_id", "ts")
-    return R.rolling_counts(events, "user_id", "ts", "event_id", name="rolling_24h_count")
+    return R.rolling_counts(events, "user_id", "ts", "event_id", name="rolling_24h_count").drop("ts")
 
 
 @query
@@ -242,7 +248,7 @@ def h3_extreme_bias(spark, d):
 
 @query
 def label_reviews(spark, d):
-    return L.label(D.reviews(spark, d))
+    return as_text(L.label(D.reviews(spark, d)), "review_date")
 
 
 @query
@@ -410,7 +416,7 @@ def score_reviews(spark, d):
 @query
 def apply_threshold(spark, d):
     events = D.table(spark, d, "events")
-    score = F.col("value") / 500
+    score = F.col("value") / D.EVENT_SCALE
     return events.select("event_id", flagged(score, SERVING_THRESHOLD).alias("prediction"))
 
 
@@ -424,7 +430,8 @@ def monitor_totals(spark, d):
 
 @query
 def monitor_recent(spark, d):
-    return W.recent(D.predictions(spark, d))
+    return as_text(W.recent(D.predictions(spark, d)).withColumn(
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "timestamp")
 
 
 @query
@@ -440,4 +447,4 @@ def monitor_category_rate(spark, d):
 @query
 def sliding_alerts(spark, d):
     alerts = W.sliding_alerts(D.predictions(spark, d), EVENT_ALERTS, keys=("product_category",))
-    return rounded(alerts, "avg_fraud_prob")
+    return as_text(rounded(alerts, "avg_fraud_prob"), "window_start", "window_end")

@@ -20,7 +20,7 @@ from oracle_check import connect, differences  # noqa: E402
 def main(scale: str, *names: str) -> int:
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC"))
