@@ -72,6 +72,7 @@ def review_features(
     labeled: DataFrame,
     reviewers: DataFrame | None = None,
     products: DataFrame | None = None,
+    from_same_rows: bool = False,
     rules: CrossRules = CrossRules(),
     skew: SkewRule = SkewRule(),
 ) -> DataFrame:
@@ -80,15 +81,14 @@ def review_features(
     Without lookups the history is that of ``labeled`` itself. The text is measured first, so the bodies
     never enter a shuffle.
     """
-    own_history = reviewers is None and products is None
-    reviewers = reviewer_history(labeled) if reviewers is None else reviewers
-    products = product_history(labeled) if products is None else products
+    if reviewers is None or products is None:
+        reviewers, products, from_same_rows = reviewer_history(labeled), product_history(labeled), True
     measured = labeled if TEXT_FEATURES[0] in labeled.columns else with_text_features(labeled)
     slim = measured.select(
         "review_id", "customer_id", "product_id", "product_category", "is_likely_fraud", "star_rating",
         *TEXT_FEATURES,
     )
-    joined = behaviour_features(slim, reviewers, products, own_history, rules, skew)
+    joined = behaviour_features(slim, reviewers, products, from_same_rows, rules, skew)
     return fill_features(joined.select("review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS))
 
 

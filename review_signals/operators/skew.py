@@ -32,10 +32,14 @@ def attach(
     pass unmatched. All other rows take the ordinary join, whose strategy Spark picks by size.
     """
     values = [c for c in stats.columns if c not in on]
+    # Null keys match nothing. Dropping them here gives both uses below the same plan, whose shuffle Spark
+    # then runs once.
+    has_key = " and ".join(f"{c} is not null" for c in on)
+    stats = stats.where(has_key)
     known = stats.withColumn("_found", F.lit(True))
     carried = [*values, "_found"]
 
-    measured, weight = (stats, size) if sizes is None else (sizes, "_size")
+    measured, weight = (stats, size) if sizes is None else (sizes.where(has_key), "_size")
     top = (
         measured.where(F.col(weight) >= rule.hot_rows)
         .orderBy(F.desc(weight), *on)
@@ -45,14 +49,14 @@ def attach(
     top = top.withColumn("_found", F.lit(True)) if sizes is None else top.select(*on).join(known, on, "left")
     hot = top.select(*on, F.struct(*carried).alias("_hot"))
 
-    no_key = " or ".join(f"{c} is null" for c in on)
     spread = f"pmod(xxhash64({', '.join(salt_by)}), {rule.salts}) + 1"
     marked = rows.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.expr(f"if(_hot is not null or {no_key}, {spread}, 0)")
+        "_salt", F.expr(f"if(_hot is null and {has_key}, 0, {spread})")
     )
     # On the side of the figures the salt is always 0. It is not written as a literal: the optimizer would
-    # turn that into a filter on the rows and drop the salt from the shuffle key.
-    zero = f"pmod(xxhash64({on[0]}), 1) as _salt"
+    # turn that into a filter on the rows and drop the salt from the shuffle key. Never null, so that no
+    # filter on it is added below, which would tell the two uses of the figures apart.
+    zero = f"coalesce(pmod(xxhash64({on[0]}), 1), 0) as _salt"
     cold = known.selectExpr(*on, zero, f"struct({', '.join(carried)}) as _cold")
 
     joined = marked.join(cold, [*on, "_salt"], "left")

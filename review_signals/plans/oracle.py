@@ -176,10 +176,11 @@ _MESSAGE_FIELDS = """
               'total_votes', total_votes, 'verified_purchase', verified_purchase, 'review_body', review_body,
               'review_date', cast(review_date as varchar), 'is_likely_fraud', is_likely_fraud)"""
 
-_FEATURES = f"""
+def _features(history: str) -> str:
+    return f"""
 measured as (select doc_id, {_text('text')} from documents),
-rh as ({_reviewer_history('labeled')}),
-ph as ({_product_history('labeled')}),
+rh as ({_reviewer_history(history)}),
+ph as ({_product_history(history)}),
 joined as (
   select r.review_id, r.product_category, r.is_likely_fraud, r.star_rating, rh.* exclude (customer_id),
          ph.* exclude (product_id), m.* exclude (doc_id)
@@ -211,6 +212,8 @@ features as (
   from joined
 )"""
 
+
+_FEATURES = _features("labeled")
 _FEATURE_NAMES = (
     "rev_total_reviews rev_avg_rating rev_rating_stddev rev_pct_verified rev_days_active rev_max_per_day "
     "prod_total_reviews prod_avg_rating prod_pct_5star prod_pct_verified prod_days_active txt_body_length "
@@ -423,6 +426,10 @@ ORACLE: dict[str, str] = {
         f", {_FEATURES}",
     ),
     "review_features": _on_labeled("select * from features", f", {_FEATURES}"),
+    "train_history_features": _on_labeled(
+        "select * from features",
+        f", train as (select * from labeled where {_bucket('customer_id')} < 70), {_features('train')}",
+    ),
     "enriched_reviews": f"""
         with {_DOCS},
         train as (select * from docs where {_bucket('review_id')} < 70),

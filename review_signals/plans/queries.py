@@ -344,13 +344,24 @@ def cross_features(spark, d):
     return rounded(cross, "xf_rating_vs_reviewer", "xf_rating_vs_product")
 
 
-def _labeled_with_text(spark, d):
-    return L.label(D.reviews_with_text_features(spark, d))
+def _features(spark, d):
+    labeled = D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d)
+    history = D.reviews(spark, d)
+    return X.review_features(labeled, H.reviewer_history(history), H.product_history(history), from_same_rows=True)
 
 
 @query
 def review_features(spark, d):
-    return rounded(X.review_features(_labeled_with_text(spark, d)), *FEATURE_ROUNDING)
+    return rounded(_features(spark, d), *FEATURE_ROUNDING)
+
+
+@query
+def train_history_features(spark, d):
+    """All reviews, with the history of the training reviewers only: what a leak-free evaluation uses."""
+    labeled = D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d)
+    train = S.train_part(D.reviews(spark, d))
+    features = X.review_features(labeled, H.reviewer_history(train), H.product_history(train))
+    return rounded(features, *FEATURE_ROUNDING)
 
 
 @query
@@ -399,13 +410,13 @@ def metrics_by_category(spark, d):
 
 @query
 def feature_stddev(spark, d):
-    return rounded(M.fitted_scale(X.review_features(_labeled_with_text(spark, d))), "scale")
+    return rounded(M.fitted_scale(_features(spark, d)), "scale")
 
 
 @query
 def score_reviews(spark, d):
     """Train on the training rows, score the held-out rows; few trees, as only the plumbing is shown."""
-    features = stage(X.review_features(_labeled_with_text(spark, d)), "features")
+    features = stage(_features(spark, d), "features")
     model = M.train(S.train_part(features, key="review_id"), ForestSettings(trees=5, depth=5))
     held_out = S.test_part(features, key="review_id")
     return M.score(held_out, model, SERVING_THRESHOLD).select(

@@ -88,16 +88,19 @@ def reviews(spark: SparkSession, sf_dir: str, with_order: bool = False) -> DataF
     return _sales(spark, sf_dir).select(*columns)
 
 
-def reviews_with_text_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews with the text features of a document each; a document is measured once, however often used."""
-    documents = table(spark, sf_dir, "documents")
+def with_document_text(rows: DataFrame, sf_dir: str) -> DataFrame:
+    """Give each review (made ``with_order``) the text features of a document.
+
+    A document is measured once, however many reviews use it.
+    """
+    documents = table(rows.sparkSession, sf_dir, "documents")
     how_many = documents.agg((F.max("doc_id") + 1).alias("n")).scalar()
     measured = with_text_features(documents.withColumn("star_rating", F.lit(0)), "text").select(
         "doc_id", *[c for c in TEXT_FEATURES if c != "txt_sentiment"]
     )
-    rows = reviews(spark, sf_dir, with_order=True).withColumn("doc_id", F.col("l_orderkey") % how_many)
     return (
-        rows.join(measured, "doc_id", "left")
+        rows.withColumn("doc_id", F.col("l_orderkey") % how_many)
+        .join(measured, "doc_id", "left")
         .withColumn("txt_sentiment", (F.col("star_rating") - 3) / 2)
         .drop("doc_id", "l_orderkey")
     )
