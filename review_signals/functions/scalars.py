@@ -26,7 +26,7 @@ def ratio_bin(helpful: Column, total: Column, bins: int) -> Column:
     The last bin is closed: a ratio of 1 (or above, in dirty data) falls into it.
     """
     position = F.floor(F.try_divide(helpful.cast("bigint") * bins, total)).cast("int")
-    return F.least(position, F.lit(bins - 1))
+    return F.when(position >= bins, bins - 1).otherwise(position)
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -74,7 +74,7 @@ def _wide_counts(rows: DataFrame, down: str, across: str, names: dict) -> DataFr
 
 def helpful_ratio_histogram(reviews: DataFrame, bins: int = 20) -> DataFrame:
     """Exact histogram of helpful/total over all reviews with a vote."""
-    voted = reviews.where(F.col("total_votes") >= 1)
+    voted = reviews.where((F.col("total_votes") >= 1) & F.col("helpful_votes").isNotNull())
     binned = voted.groupBy(ratio_bin(F.col("helpful_votes"), F.col("total_votes"), bins).alias("bin")).agg(
         F.count("*").alias("reviews")
     )

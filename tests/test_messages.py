@@ -1,0 +1,47 @@
+import json
+
+from helpers import as_dict, reviews
+from pyspark.sql import functions as F
+
+from review_signals.schemas import MESSAGE_COLUMNS
+from review_signals.sources import messages as J
+from review_signals.sources import standin as D
+
+
+def decode(spark, *texts):
+    frame = spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "value binary")
+    return J.decode_messages(frame.withColumn("timestamp", F.current_timestamp()))
+
+
+def test_message_text(spark):
+    frame = reviews(spark, [dict(review_body='say "hi"\n', helpful_votes=None)]).withColumn(
+        "is_likely_fraud", F.lit(True))
+    row = J.encode_messages(frame).first()
+    assert row["key"] == "r0"
+    assert json.loads(row["value"]) == {
+        "review_id": "r0", "customer_id": "c", "product_id": "p", "product_category": "Books", "star_rating": 3,
+        "helpful_votes": None, "total_votes": 0, "verified_purchase": True, "review_body": 'say "hi"\n',
+        "review_date": "2015-03-01", "is_likely_fraud": True}
+
+
+def test_round_trip_of_whole_texts(spark):
+    documents = D.document_reviews(spark, "/root/testdata/sf0.001")
+    sent = J.encode_messages(documents).select(
+        F.col("value").cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
+    back = J.valid_messages(J.decode_messages(sent)).drop("timestamp")
+    expected = documents.withColumn("review_date", F.col("review_date").cast("string")).select(*MESSAGE_COLUMNS)
+    assert back.exceptAll(expected).count() == 0 and back.count() == documents.count()
+
+
+def test_broken_messages_go_aside(spark):
+    good = '{"review_id":"a","star_rating":5,"extra":1}'
+    bad = ['{"review_id":"b","star_ra', '{"review_id":"c","star_rating":"five"}', '{"star_rating":5}', "", "null", None]
+    decoded = decode(spark, good, *bad)
+    valid = J.valid_messages(decoded).collect()
+    assert [(r["review_id"], r["star_rating"], r["customer_id"]) for r in valid] == [("a", 5, None)]
+    assert sorted(r["malformed"] for r in J.dead_letters(decoded).collect()) == sorted(b or "" for b in bad)
+
+
+def test_null_fields_are_kept(spark):
+    got = as_dict(J.valid_messages(decode(spark, '{"review_id":"a","review_body":null}')), "review_id", "review_body")
+    assert got == {"a": None}

@@ -1,0 +1,84 @@
+import datetime as dt
+
+import pytest
+from helpers import as_dict
+from pyspark.sql import functions as F
+
+from review_signals.config import AlertRule
+from review_signals.functions.scalars import flagged
+from review_signals.operators import metrics as Q
+from review_signals.operators import monitor as W
+from review_signals.schemas import PREDICTION_SCHEMA
+
+START = dt.datetime(2024, 1, 1)
+
+
+def outcomes(spark, tn, fp, fn, tp):
+    rows = [(0.0, 0.0)] * tn + [(0.0, 1.0)] * fp + [(1.0, 0.0)] * fn + [(1.0, 1.0)] * tp
+    return spark.createDataFrame(rows, "label double, prediction double")
+
+
+@pytest.mark.parametrize("cells", [(50, 10, 5, 35), (90, 0, 10, 0), (0, 0, 3, 7), (1, 0, 0, 0)])
+def test_weighted_metrics_equal_the_library_evaluator(spark, cells):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    scored = outcomes(spark, *cells)
+    got = Q.weighted_metrics(scored).first()
+    assert (got["tn"], got["fp"], got["fn"], got["tp"]) == cells
+    for name, metric in (("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"),
+                         ("weighted_recall", "weightedRecall"), ("f1", "f1")):
+        expected = MulticlassClassificationEvaluator(metricName=metric).evaluate(scored)
+        assert got[name] == pytest.approx(expected, abs=1e-12), name
+
+
+def test_confusion_shares(spark):
+    got = {(r["label"], r["prediction"]): r["row_share"] for r in Q.confusion(outcomes(spark, 5, 0, 3, 2)).collect()}
+    assert got == {(0.0, 0.0): 0.5, (1.0, 0.0): 0.3, (1.0, 1.0): 0.2}
+
+
+def test_label_of_unknown_is_negative(spark):
+    rows = spark.createDataFrame([(True,), (False,), (None,)], "is_likely_fraud boolean")
+    assert as_dict(Q.label_distribution(Q.with_label(rows)), "label", "reviews") == {0.0: 2, 1.0: 1}
+
+
+def test_threshold_edges(spark):
+    scores = spark.createDataFrame([(0.049,), (0.05,), (0.051,), (None,)], "s double")
+    assert [r[0] for r in scores.select(flagged(F.col("s"), 0.05)).collect()] == [0.0, 1.0, 1.0, None]
+
+
+def predictions(spark, rows):
+    full = [(f"r{i}", p, c, 5, y, s, START + dt.timedelta(minutes=m)) for i, (p, c, y, s, m) in enumerate(rows)]
+    return spark.createDataFrame(full, PREDICTION_SCHEMA)
+
+
+ROWS = [("a", "x", 1.0, 0.9, 0), ("a", "x", 1.0, 0.8, 1), ("a", "x", 1.0, 0.7, 2), ("a", "x", 0.0, 0.1, 3),
+        ("b", "x", 1.0, 0.6, 4), ("b", "y", None, 0.5, 5)]
+
+
+def test_totals_and_empty_sink(spark):
+    frame = predictions(spark, ROWS)
+    assert tuple(W.totals(frame).first()) == (6, 4, pytest.approx(4 / 6))
+    assert tuple(W.totals(frame.limit(0)).first()) == (0, 0, 0.0)
+
+
+def test_category_rate_skips_rows_without_verdict_in_total(spark):
+    got = as_dict(W.category_rate(predictions(spark, ROWS)), "product_category", "total", "fraud", "fraud_rate")
+    assert got == {"x": (5, 4, 0.8), "y": (0, 0, 0.0)}
+
+
+def test_product_alerts(spark):
+    got = W.product_alerts(predictions(spark, ROWS)).collect()
+    assert [tuple(r) for r in got] == [("a", "x", 3, 0.8)]
+
+
+def test_recent_is_newest_first_and_readable(spark):
+    got = W.recent(predictions(spark, ROWS), 2).collect()
+    assert [(r["review_id"], r["prediction"]) for r in got] == [("r5", None), ("r4", "Fraud")]
+
+
+def test_sliding_alerts_on_a_table(spark):
+    got = W.sliding_alerts(predictions(spark, ROWS), AlertRule()).orderBy("window_start").collect()
+    starts = [r["window_start"] for r in got]
+    assert starts == [START - dt.timedelta(minutes=5), START]
+    assert all(r["product_id"] == "a" and r["fraud_count"] == 3 for r in got)
+    assert all(r["avg_fraud_prob"] == pytest.approx(0.8) for r in got)

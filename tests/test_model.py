@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+from review_signals.config import ForestSettings
+from review_signals.operators import metrics as Q
+from review_signals.operators import model as M
+from review_signals.schemas import FEATURE_COLUMNS
+
+SMALL = ForestSettings(trees=4, depth=3, feature_subset="all")
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    """A label that one feature decides almost alone."""
+    rows = spark.range(600).select(
+        F.col("id").cast("string").alias("review_id"), F.lit("x").alias("product_category"),
+        (F.col("id") % 5 == 0).alias("is_likely_fraud"), *[F.lit(0.0).alias(c) for c in FEATURE_COLUMNS]
+    )
+    decided = F.when(F.col("is_likely_fraud"), 5.0).otherwise(1.0) + (F.col("review_id").cast("int") % 7) / 10
+    other = (F.col("review_id").cast("int") % 11).cast("int")
+    frame = rows.withColumns({"rev_avg_rating": decided, "txt_body_length": other,
+                              "prod_avg_rating": F.when(F.col("review_id") == "3", None).otherwise(1.5)})
+    return frame.persist()
+
+
+def test_feature_sets():
+    assert len(FEATURE_COLUMNS) == 20
+    assert len(set(FEATURE_COLUMNS) - M.FEATURE_SETS["controlled"]) == 13
+    assert len(set(FEATURE_COLUMNS) - M.FEATURE_SETS["strict"]) == 12
+
+
+def test_columns_are_chosen_by_type(spark):
+    frame = spark.createDataFrame([("a", 1, 1.0, True, None)],
+                                  "review_id string, a int, b double, is_likely_fraud boolean, d decimal(5,2)")
+    assert M.feature_columns(frame) == ["a", "b"]
+    assert M.feature_columns(frame, {"a"}) == ["b"]
+
+
+def test_train_save_load_score(spark, features, tmp_path):
+    model = M.train(features, SMALL)
+    M.save(model, str(tmp_path / "m"))
+    M.save(model, str(tmp_path / "m"))
+    filled = features.fillna(0)
+    first, again = (M.score(filled, m).select("review_id", "fraud_probability", "prediction")
+                    for m in (model, M.load(str(tmp_path / "m"))))
+    assert first.exceptAll(again).count() == 0
+    assert first.where("fraud_probability not between 0 and 1").count() == 0
+    best = M.importances(model, spark).first()
+    assert best["feature"] == "rev_avg_rating"
+    assert M.importances(model, spark).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+
+
+def test_threshold_changes_the_verdict_only(features):
+    model = M.train(features, SMALL)
+    filled = features.fillna(0)
+    low, high = (M.score(filled, model, t) for t in (0.0, 1.01))
+    assert low.where("prediction = 1.0").count() == 600
+    assert high.where("prediction = 0.0").count() == 600
+
+
+def test_evaluate_and_compare(features):
+    rows = []
+    for name in ("full", "strict"):
+        model = M.train(features, SMALL, M.FEATURE_SETS[name])
+        rows.append(M.evaluate(Q.with_label(M.score(features.fillna(0), model)), name))
+    full = rows[0].first()
+    assert full["accuracy"] == 1.0 and full["roc_auc"] == 1.0 and full["pr_auc"] == pytest.approx(1.0)
+    table = M.compare(*rows)
+    assert table.columns == ["metric", "full", "strict"]
+    assert [r["metric"] for r in table.collect()] == sorted(M.METRICS)
+    by_metric = {r["metric"]: r for r in table.collect()}
+    assert by_metric["accuracy"]["strict"] == pytest.approx(0.8)
+
+
+def test_areas_of_a_known_ranking(spark):
+    scored = spark.createDataFrame([(1.0, 0.9), (0.0, 0.8), (1.0, 0.7), (0.0, 0.1)],
+                                   "label double, fraud_probability double").withColumn("prediction", F.lit(1.0))
+    assert M.evaluate(scored, "m").first()["roc_auc"] == pytest.approx(0.75)
+
+
+def test_scale_is_the_sample_deviation(features):
+    got = {r["feature"]: r["scale"] for r in M.fitted_scale(features.fillna(0)).collect()}
+    expected = features.fillna(0).agg(F.stddev_samp("txt_body_length")).first()[0]
+    assert got["txt_body_length"] == pytest.approx(expected)
