@@ -51,18 +51,21 @@ def behaviour_features(
     from_same_rows: bool,
     rules: CrossRules = CrossRules(),
     skew: SkewRule = SkewRule(),
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Reviewer, product and cross features for rows that carry their text features already.
 
     ``from_same_rows`` says that both lookups were computed from these rows, so that their totals tell how
-    many rows each key has here. Otherwise (lookups of the training part only) the rows are counted.
+    many rows each key has here. Otherwise (lookups of the training part only) the rows are counted, or
+    ``keys_from``, a frame with the same keys that is cheaper to compute.
     """
     people, goods = as_reviewer_features(reviewers), as_product_features(products)
     if from_same_rows:
         by_reviewer, by_product = {"size": "rev_total_reviews"}, {"size": "prod_total_reviews"}
     else:
-        by_reviewer = {"sizes": key_sizes(rows, ["customer_id"])}
-        by_product = {"sizes": key_sizes(rows, ["product_id"])}
+        counted = rows if keys_from is None else keys_from
+        by_reviewer = {"sizes": key_sizes(counted, ["customer_id"])}
+        by_product = {"sizes": key_sizes(counted, ["product_id"])}
     joined = attach(rows, people, ["customer_id"], salt_by=["review_id"], rule=skew, **by_reviewer)
     joined = attach(joined, goods, ["product_id"], salt_by=["review_id"], rule=skew, **by_product)
     return with_cross_features(joined, rules)
@@ -75,6 +78,7 @@ def review_features(
     from_same_rows: bool = False,
     rules: CrossRules = CrossRules(),
     skew: SkewRule = SkewRule(),
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table: review_id, product_category, is_likely_fraud and the twenty features.
 
@@ -88,21 +92,22 @@ def review_features(
         "review_id", "customer_id", "product_id", "product_category", "is_likely_fraud", "star_rating",
         *TEXT_FEATURES,
     )
-    joined = behaviour_features(slim, reviewers, products, from_same_rows, rules, skew)
+    joined = behaviour_features(slim, reviewers, products, from_same_rows, rules, skew, keys_from)
     return fill_features(joined.select("review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS))
 
 
 def enrich(reviews: DataFrame, reviewers: DataFrame, products: DataFrame,
            rules: CrossRules = CrossRules()) -> DataFrame:
-    """Features of incoming reviews from saved lookups; works on streams and on tables.
+    """Features of incoming reviews from saved lookups; unknown reviewers and products stay.
 
-    Plain left joins: unknown reviewers and products stay, and Spark broadcasts a lookup only if its size
-    allows. Large lookups are best saved bucketed, then only the incoming rows move.
+    On a stream these are plain left joins: Spark broadcasts a lookup only if its size allows, and the rows
+    of a hot key are no more than the bounded batch holds. Large lookups are best saved bucketed, then only
+    the incoming rows move. On a table of any size hot keys are spread.
     """
-    joined = (
-        with_text_features(reviews)
-        .drop("review_body")
-        .join(as_reviewer_features(reviewers), "customer_id", "left")
-        .join(as_product_features(products), "product_id", "left")
+    rows = with_text_features(reviews).drop("review_body")
+    if not reviews.isStreaming:
+        return fill_features(behaviour_features(rows, reviewers, products, False, rules, keys_from=reviews))
+    joined = rows.join(as_reviewer_features(reviewers), "customer_id", "left").join(
+        as_product_features(products), "product_id", "left"
     )
     return fill_features(with_cross_features(joined, rules))

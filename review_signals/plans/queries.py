@@ -359,8 +359,11 @@ def review_features(spark, d):
 def train_history_features(spark, d):
     """All reviews, with the history of the training reviewers only: what a leak-free evaluation uses."""
     labeled = D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d)
-    train = S.train_part(D.reviews(spark, d))
-    features = X.review_features(labeled, H.reviewer_history(train), H.product_history(train))
+    everyone = D.reviews(spark, d)
+    train = S.train_part(everyone)
+    features = X.review_features(
+        labeled, H.reviewer_history(train), H.product_history(train), keys_from=everyone
+    )
     return rounded(features, *FEATURE_ROUNDING)
 
 

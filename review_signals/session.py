@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,8 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the setting is missing, as in local tests, a temporary folder is used instead.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="review-signals-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
     return configured.rstrip("/")
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="review-signals-")

@@ -25,6 +25,16 @@ def read_table(spark: SparkSession, *paths: str, hint: str = "", schema: str | N
         raise
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows on all cores: adds a shuffle only where a scan has fewer tasks than the cluster has cores.
+
+    That is the case for a few small or unsplittable files. A large table has more tasks than cores and is
+    returned as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def write_by_category(rows: DataFrame, path: str, rebalance: bool = False, max_records: int = 5_000_000) -> None:
     """Overwrite a table partitioned by product_category, the column readers prune on.
 

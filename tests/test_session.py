@@ -1,0 +1,26 @@
+from types import SimpleNamespace
+
+from review_signals.session import shared_dir
+from review_signals.sources.tables import spread, stage
+
+
+def test_shared_dir_is_the_one_of_the_cluster(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shared_dir_falls_back_where_nothing_is_set():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    assert shared_dir(bare) == shared_dir(bare) != ""
+
+
+def test_staged_table_reads_back(spark):
+    rows = spark.range(10).selectExpr("id", "cast(id as string) as s")
+    staged = stage(rows, "numbers")
+    assert staged.exceptAll(rows).count() == 0 and staged.count() == 10
+    assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
+
+
+def test_spread_adds_a_shuffle_only_to_few_tasks(spark):
+    few, many = spark.range(100).repartition(2), spark.range(100).repartition(16)
+    assert spread(few).rdd.getNumPartitions() == 8
+    assert spread(many) is many
