@@ -248,7 +248,7 @@ ORACLE: dict[str, str] = {
     "json_decode": f"""with {_DOCS}, {_CUT}
         select review_id, customer_id, product_id, product_category, star_rating, helpful_votes, total_votes,
                verified_purchase, review_body, cast(review_date as varchar) as review_date,
-               cast(is_likely_fraud as varchar) as is_likely_fraud
+               coalesce(cast(is_likely_fraud as varchar), '') as is_likely_fraud
         from split_up where not is_cut""",
     "json_dead_letters": f"""with {_DOCS}, {_CUT}
         select substr(message, 1, 40) as malformed, count(*) as messages from split_up where is_cut group by 1""",
@@ -484,7 +484,7 @@ ORACLE: dict[str, str] = {
     "monitor_recent": f"""with {_PREDICTIONS}
         select strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') as "timestamp", review_id, product_id, product_category, star_rating,
                round(fraud_probability, 4) as fraud_probability,
-               case prediction when 1 then 'Fraud' when 0 then 'Legit' end as prediction
+               case prediction when 1 then 'Fraud' when 0 then 'Legit' else '' end as prediction
         from predictions order by predictions."timestamp" desc, review_id limit 50""",
     "monitor_product_alerts": f"""with {_PREDICTIONS}
         select product_id, product_category, count(prediction) as fraud_count,

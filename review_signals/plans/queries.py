@@ -43,8 +43,8 @@ def rounded(rows: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def as_text(rows: DataFrame, *columns: str) -> DataFrame:
-    """Dates, times and flags with gaps as text: a result then reads the same in every client."""
-    return rows.withColumns({c: F.col(c).cast("string") for c in columns})
+    """Dates, times and flags as text, gaps as empty text: a result then reads the same in every client."""
+    return rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
 
 
 # --- scans and messages ---------------------------------------------------------------------------
@@ -445,7 +445,7 @@ def monitor_totals(spark, d):
 @query
 def monitor_recent(spark, d):
     return as_text(W.recent(D.predictions(spark, d)).withColumn(
-        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "timestamp")
+        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "prediction")
 
 
 @query
