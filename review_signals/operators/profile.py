@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from review_signals.functions.scalars import as_int, helpful_ratio, ratio_bin, share
+from review_signals.operators.split import key_sample
 
 
 def column_profile(rows: DataFrame) -> DataFrame:
@@ -72,8 +73,10 @@ def _wide_counts(rows: DataFrame, down: str, across: str, names: dict) -> DataFr
     return rows.groupBy(down).agg(*cells).orderBy(down)
 
 
-def helpful_ratio_histogram(reviews: DataFrame, bins: int = 20) -> DataFrame:
-    """Exact histogram of helpful/total over all reviews with a vote."""
+def helpful_ratio_histogram(reviews: DataFrame, bins: int = 20, fraction: float | None = None) -> DataFrame:
+    """Histogram of helpful/total over the reviews with a vote: exact, or of a repeatable sample of them."""
+    if fraction is not None:
+        reviews = key_sample(reviews, "review_id", fraction)
     voted = reviews.where((F.col("total_votes") >= 1) & F.col("helpful_votes").isNotNull())
     binned = voted.groupBy(ratio_bin(F.col("helpful_votes"), F.col("total_votes"), bins).alias("bin")).agg(
         F.count("*").alias("reviews")

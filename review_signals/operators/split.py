@@ -57,6 +57,11 @@ def restrict_to_keys(rows: DataFrame, keys: DataFrame, on: str, salt_by: str,
     return attach(rows, wanted, [on], salt_by=[salt_by], sizes=key_sizes(rows, [on]), how="inner", rule=skew)
 
 
+def row_sample(rows: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
+    """Spark's own sampling: needs no key, but the rows it picks change with the partition layout."""
+    return rows.sample(fraction, seed)
+
+
 def key_sample(rows: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Repeatable row sample of about ``fraction``, chosen by a hash of the key."""
     resolution = 10_000

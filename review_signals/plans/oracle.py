@@ -222,11 +222,11 @@ _FEATURE_NAMES = (
 ).split()
 
 
-def _histogram(bins: int) -> str:
+def _histogram(bins: int, condition: str = "true") -> str:
     return _on_reviews(
         f"""select least(helpful_votes * {bins} // total_votes, {bins - 1})::int as bin,
               round(bin / {bins}, 6) as low, round((bin + 1) / {bins}, 6) as high, count(*) as reviews
-            from reviews where total_votes >= 1 group by bin"""
+            from reviews where total_votes >= 1 and {condition} group by bin"""
     )
 
 
@@ -275,6 +275,7 @@ ORACLE: dict[str, str] = {
     ),
     "helpful_ratio_histogram": _histogram(20),
     "helpful_ratio_histogram_10": _histogram(10),
+    "helpful_ratio_sampled": _histogram(20, f"{_bucket('review_id', 10000)} < 100"),
     "helpful_extremes": _on_reviews(
         """select count(*) as voted_reviews,
                   round(avg(cast(helpful_votes = 0 as int)), 6) as share_none_helpful,

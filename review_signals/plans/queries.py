@@ -141,6 +141,11 @@ def helpful_ratio_histogram_10(spark, d):
     return rounded(P.helpful_ratio_histogram(D.reviews(spark, d), bins=10), "low", "high")
 
 
+@query
+def helpful_ratio_sampled(spark, d):
+    return rounded(P.helpful_ratio_histogram(D.reviews(spark, d), fraction=0.01), "low", "high")
+
+
 @query
 def helpful_extremes(spark, d):
     return rounded(P.helpful_extremes(D.reviews(spark, d)), "share_none_helpful", "share_all_helpful")

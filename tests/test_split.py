@@ -56,6 +56,10 @@ def test_sample_is_repeatable_and_close_to_its_share(spark):
     assert S.key_sample(rows, "review_id", 1.0).count() == 20_000
 
 
+def test_row_sample_is_close_to_its_share(spark):
+    assert 140 < S.row_sample(keys(spark, 20_000), 0.01).count() < 260
+
+
 def test_split_adds_no_shuffle(spark):
     plan = S.train_part(keys(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
