@@ -45,8 +45,13 @@ def attach(
         .orderBy(F.desc(weight), *on)
         .limit(rule.max_hot_keys)
     )
-    # Where the sizes come from other rows, a hot key may be without figures: it is still hot.
-    top = top.withColumn("_found", F.lit(True)) if sizes is None else top.select(*on).join(known, on, "left")
+    if sizes is None:
+        top = top.withColumn("_found", F.lit(True))
+    else:
+        # The few hot keys go to the figures, not the figures to them. A hot key may be without figures: it
+        # is still hot.
+        top = top.select(*on)
+        top = top.join(F.broadcast(known.join(F.broadcast(top), on, "left_semi")), on, "left")
     hot = top.select(*on, F.struct(*carried).alias("_hot"))
 
     spread = f"pmod(xxhash64({', '.join(salt_by)}), {rule.salts}) + 1"
