@@ -2,7 +2,7 @@
 
 This tokenizer lower-cases, drops white space and never joins what white space parts, so the ids of a text are the ids
 of its words in order. Tasks remember the ids of words they have met (at most ``REMEMBERED``, then they start anew) and
-look most words up in arrays.
+look only distinct words up.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from itertools import chain
 
 import numpy as np
 
+from review_signals.llm.text_arrays import Texts
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 REMEMBERED = 500_000
 #: The end-of-document id that the vocabulary itself provides.
 END_OF_TEXT = 49407
 
-# A pre-token always ends between a letter and one of these signs, so a space there changes nothing.
-_BORDER = re.compile(rb"(?<=[a-z])(?=[.,!?;:#$%&*|])")
 _ONE_PRETOKEN = re.compile("[a-zß-öø-ÿ]+")
 
 
@@ -78,29 +78,50 @@ class WordEncoder:
         self._sizes = np.concatenate([self._sizes, sizes])
         self._ids = np.concatenate([self._ids, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))])
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """The ids of each text, in order."""
-        split = [_BORDER.sub(b" ", text.lower()).split() if text.isascii() else _split_wide(text) for text in texts]
+    def encode(self, texts: Texts) -> Iterator[np.ndarray]:
+        """The ids of each text, in order. Each distinct word of the chunk is looked up once."""
+        starts, ends = _pretokens(texts)
+        lowered = Texts(_LOWER[texts.data], texts.offsets)
+        _, first, inverse = np.unique(lowered.hashes(starts, ends), return_index=True, return_inverse=True)
+        raw = lowered.data.tobytes()
+        words = [raw[low:high] for low, high in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         if len(self._place) > REMEMBERED:
             self._forget()
-        self._learn(list(set().union(*split).difference(self._place)))
-        place = self._place
-        for words in split:
-            index = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            sizes = self._sizes[index]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            yield self._ids[np.repeat(self._starts[index] - ends + sizes, sizes) + np.arange(total)]
-
-
-#: White space of any script; the four separators from 0x1C on count as signs here.
-_WIDE_WORD = re.compile(r"[\S\x1c-\x1f]+")
-
-
-def _split_wide(text: bytes) -> list[bytes]:
-    """Words of a text with other than ASCII characters."""
-    spaced = _BORDER.sub(b" ", text.lower())
-    return [word.encode() for word in _WIDE_WORD.findall(spaced.decode("utf-8", "replace"))]
+        self._learn([word for word in words if word not in self._place])
+        index = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))[inverse]
+        sizes = self._sizes[index]
+        after = np.cumsum(sizes)
+        total = int(after[-1]) if len(after) else 0
+        ids = self._ids[np.repeat(self._starts[index] - after + sizes, sizes) + np.arange(total)]
+        bounds = np.concatenate([[0], after])[np.searchsorted(starts, texts.offsets)].tolist()
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            yield ids[low:high]
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IS_SMALL = (np.arange(256) >= 97) & (np.arange(256) <= 122)
+#: A pre-token always ends between a letter and one of these signs.
+_IS_SIGN = np.isin(np.arange(256), np.frombuffer(b".,!?;:#$%&*|", np.uint8))
+#: White space beyond ASCII, as UTF-8.
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WIDE_SPACE_BYTES = re.compile(b"|".join(re.escape(chr(c).encode()) for c in range(0x80, 0x3001) if _WIDE_SPACE.match(chr(c))))
+
+
+def _pretokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of pieces that are tokenised on their own: words, parted once more before a sign."""
+    data, inside = texts.data, texts.inside
+    if len(data) and data.max() > 0x7F:
+        for found in _WIDE_SPACE_BYTES.finditer(data.tobytes()):
+            inside[found.start():found.end()] = False
+    small = _IS_SMALL[_LOWER[data]]
+    opens = np.zeros(len(data) + 1, bool)
+    opens[texts.first] = True
+    opens[1:-1] |= ~inside[:-1] | (small[:-1] & _IS_SIGN[data[1:]])
+    starts = np.flatnonzero(opens[:-1] & inside)
+    # a piece ends at the next start or at the white space or border before it
+    stops = np.flatnonzero(np.append(opens[:-1] | ~inside, True))
+    return starts, stops[np.searchsorted(stops, starts, side="right")]
 
 
 @functools.cache

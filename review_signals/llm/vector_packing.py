@@ -165,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits()) -> Dat
 
         packer, words, end = Packer(limits, emit), encoder(tokenizer_path), np.array([limits.end_id], np.uint32)
         for part, texts in chunks(batches, "text"):
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), words.encode(list(texts.slices())), strict=True):
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), words.encode(texts), strict=True):
                 packer.add(doc_id, np.concatenate([ids, end]).astype("<u4"))
             if len(rows) >= _ROWS_OUT:
                 yield ready()

@@ -5,9 +5,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from review_signals.llm.queries import REGISTRY
+from review_signals.llm.text_arrays import as_texts
 from review_signals.llm.tokens import encoder, vocabulary
 from review_signals.llm.vector_packing import Limits, pack
 
@@ -55,7 +57,7 @@ def test_encoder_equals_the_whole_tokenizer():
     signs = "aB é.,!'s\n\t#12ß…Çı" + "́　"
     generator = random.Random(3)
     texts = [t or "" for t in ODD] + ["".join(generator.choices(signs, k=40)) for _ in range(400)]
-    got = [ids.tolist() for ids in encoder(vocabulary()).encode([t.encode() for t in texts])]
+    got = [ids.tolist() for ids in encoder(vocabulary()).encode(as_texts(pa.array(texts)))]
     tokenizer = plain_tokenizer()
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
