@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from review_signals.llm import vector_packing
+from review_signals.llm import line_windows, preference_format, risk_thresholds, spaced_seeds, token_scan, vector_packing
+from review_signals.llm.oracle import ORACLE
 from review_signals.llm.tokens import vocabulary
 
+__all__ = ["ORACLE", "REGISTRY"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(run: Query) -> Query:
@@ -26,3 +29,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op6_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks are shown as text, ``start:end`` of each range."""
+    chosen, rejected = preference_format.branch_pairs(table(spark, sf_dir, "conversations"))
+    shown = [
+        F.expr(f"array_join(transform({side}_mask, m -> concat(m.start, ':', m.end)), ',')").alias(f"{side}_mask")
+        for side in ("chosen", "rejected")
+    ]
+    return preference_format.format_pairs(chosen, rejected).select("pair_id", "n_prompt_turns", "prompt", "chosen", "rejected", *shown)
+
+
+@query
+def op2_risk_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_thresholds.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``start`` and ``file_id`` depend on how Spark cut the input, so the digest leaves them out."""
+    counted = token_scan.count_documents(table(spark, sf_dir, "documents"), vocabulary())
+    return counted.select("doc_id", "n_tokens")
+
+
+@query
+def op7_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_windows.deduplicate(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
