@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from review_signals.llm import line_windows, preference_format, risk_thresholds, spaced_seeds, token_scan, vector_packing
+from review_signals.llm import (
+    gam,
+    hyperdim,
+    line_windows,
+    preference_format,
+    risk_thresholds,
+    spaced_seeds,
+    token_scan,
+    vector_packing,
+)
 from review_signals.llm.oracle import ORACLE
 from review_signals.llm.tokens import vocabulary
 
@@ -63,3 +72,15 @@ def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_windows.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_removed", "n_spans", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query
+def op4_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return gam.score(docs, gam.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return hyperdim.predict(docs, hyperdim.learn(docs))

@@ -63,7 +63,8 @@ class Risk:
     max_broadcast_strata: int = 100_000
 
 
-def _measure(texts: Texts) -> dict[str, np.ndarray]:
+def count_signals(texts: Texts) -> dict[str, np.ndarray]:
+    """The counts of each text of a chunk, by name."""
     starts, ends = texts.words
     owner = texts.owner(starts)
     size = len(texts)
@@ -95,7 +96,7 @@ def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "__text"):
-            counts = _measure(texts)
+            counts = count_signals(texts)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(name) for name in keep), *(pa.array(counts[name], pa.int64()) for name in COUNTS)],
                 names=[*keep, *COUNTS],
