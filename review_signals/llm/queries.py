@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from review_signals.llm import (
     gam,
     hyperdim,
+    jaccard_join,
     line_windows,
     preference_format,
     risk_thresholds,
@@ -84,3 +85,8 @@ def op4_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return hyperdim.predict(docs, hyperdim.learn(docs))
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
