@@ -15,6 +15,7 @@ from review_signals.llm import (
     preference_format,
     risk_thresholds,
     spaced_seeds,
+    suffix_dedup,
     token_scan,
     vector_packing,
 )
@@ -90,3 +91,9 @@ def op9_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
