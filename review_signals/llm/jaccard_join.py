@@ -357,7 +357,8 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join)
 
 
 def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008 - frozen
-    """Per row its doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id that links reach."""
+    """Per row its doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id that links reach; ``text_key`` tells
+    rows of one doc_id apart."""
     measured = staged(measure(docs, join), "shingle-measures")
     # one row per class: a document that stands for it
     chosen = staged(measured.filter("n > 0").groupBy("node").agg(
@@ -368,8 +369,9 @@ def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # no
     classes = staged(classes, "class-measures")
     roots = staged(link_classes(docs, classes, join), "components")
 
-    rows = measured.select("doc_id", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = staged(rows.select("doc_id", "n", "root"), "rooted")
+    rows = measured.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = staged(rows.select("doc_id", "text_key", "n", "root"), "rooted")
     least = staged(rows.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "component-ids")
     joined = rows.join(least, "root", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "text_key")

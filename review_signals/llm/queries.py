@@ -55,7 +55,7 @@ def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_risk_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return risk_thresholds.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return risk_thresholds.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
 
 
 @query
@@ -90,7 +90,7 @@ def op9_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 @query

@@ -173,8 +173,10 @@ def base_failed() -> Column:
 def judge(
     docs: DataFrame, labels: DataFrame, stratum: str = "lang", rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()  # noqa: B008
 ) -> DataFrame:
-    """Counts, ``base_failed``, the broken rule if any and ``kept`` of every document."""
-    measured = staged(measure(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), ("doc_id", "stratum")), "measured")
+    """Counts, ``base_failed``, the broken rule if any and ``kept`` of every document. ``text_key`` tells rows of one
+    doc_id apart."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.col(stratum).alias("stratum"))
+    measured = staged(measure(rows, ("doc_id", "text_key", "stratum")), "measured")
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
     counted = measured.filter(~base_failed()).join(good, "doc_id", "left_semi")
     cutoffs = bounded(staged(select_cutoffs(counted, "stratum", rules, risk), "cutoffs"), risk.max_broadcast_strata)
@@ -183,5 +185,5 @@ def judge(
     broken = F.coalesce(*(F.when(_breaks(rule, F.col(f"__{rule.name}")), F.lit(rule.name)) for rule in rules))
     return judged.select(
         "doc_id", *COUNTS, base_failed().alias("base_failed"), broken.alias("broken_rule"),
-        (~base_failed() & broken.isNull()).alias("kept"),
+        (~base_failed() & broken.isNull()).alias("kept"), "text_key",
     )

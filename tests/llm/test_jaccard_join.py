@@ -82,7 +82,7 @@ def test_whole_table(spark):
 
 def test_repeated_rows_and_null_ids(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "z z y"), (2, None), (None, None)]
-    got = sorted(map(str, similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    got = sorted(map(str, similar_components(spark.createDataFrame(rows, "doc_id long, text string")).drop("text_key").collect()))
     assert got == sorted([
         "Row(doc_id=5, n_shingles=3, component_id=5)", "Row(doc_id=5, n_shingles=3, component_id=5)",
         "Row(doc_id=None, n_shingles=3, component_id=5)", "Row(doc_id=None, n_shingles=1, component_id=None)",

@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import random
+import re
+from itertools import combinations
+
+from review_signals.llm.queries import REGISTRY
+from review_signals.llm.spaced_seeds import Seeds, overlaps
+
+from .conftest import SF_DIR
+
+
+def words_of(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def brute_force(texts, items, window=13, least=11):
+    """(doc, item) -> most equal words of any aligned window, where there are enough."""
+    result, places = {}, {}
+    for item, text in items.items():
+        words = words_of(text)
+        for at, word in enumerate(words if len(words) >= window else ()):
+            places.setdefault(word, []).append((item, at, len(words)))
+    for doc, text in texts.items():
+        words, equal = words_of(text), {}
+        for at, word in enumerate(words):
+            for item, there, size in places.get(word, ()):
+                equal.setdefault((item, at - there, size), set()).add(there)
+        for (item, shift, size), found in equal.items():
+            if len(found) < least:
+                continue
+            low, high = max(0, -shift), min(size, len(words) - shift)
+            for begin in range(low, high - window + 1):
+                n = sum(begin <= k < begin + window for k in found)
+                if n >= least:
+                    result[doc, item] = max(n, result.get((doc, item), 0))
+    return result
+
+
+def found(frame):
+    return {(r.doc_id, r.item_id): r.equal_words for r in frame.collect()}
+
+
+def test_masks_hit_every_window_within_two_substitutions():
+    seeds = Seeds()
+    ones = [[k for k, bit in enumerate(mask) if bit == "1"] for mask in seeds.masks]
+    for changed in combinations(range(seeds.window), seeds.window - seeds.min_equal):
+        assert any(not {begin + k for k in mask} & set(changed) for mask in ones for begin in range(seeds.window - seeds.span + 1))
+
+
+def make(generator, n, vocabulary=60):
+    return [f"w{generator.randrange(vocabulary)}" for _ in range(n)]
+
+
+def test_equals_brute_force(spark, docs):
+    generator = random.Random(8)
+    items = {i: " ".join(make(generator, n)) for i, n in enumerate([3, 12, 13, 14, 20, 40, 40])}
+    items[7] = items[6]
+    items |= {8: None, 9: ""}
+    texts = {}
+    for doc in range(150):
+        passage = (items[generator.choice([1, 2, 3, 4, 5, 6])] or "").split()
+        for _ in range(generator.randrange(6)):
+            passage[generator.randrange(len(passage))] = "changed"
+        passage = passage[generator.randrange(4):]
+        texts[doc] = ", ".join(make(generator, generator.randrange(30)) + passage + make(generator, generator.randrange(30))).upper()
+    texts |= {900: None, 901: "", 902: items[4], 903: "w1 " * 20_000 + (items[5] or "")}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    expected = brute_force(texts, items)
+    assert expected
+    assert found(overlaps(docs(texts.items()), benchmark)) == expected
+    assert found(overlaps(docs(texts.items()), benchmark, Seeds(block_rows=50))) == expected
+
+
+def test_clashing_columns_repeated_rows_and_empty_tables(spark, docs):
+    text = " ".join(f"q{i}" for i in range(20))
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    frame = spark.createDataFrame([(5, text), (5, text), (None, text)], "doc_id long, text string").selectExpr("*", "1 as seed", "2 as shift")
+    assert found(overlaps(frame, benchmark)) == {(5, 1): 13, (None, 1): 13}
+    assert found(overlaps(docs([]), benchmark)) == {}
+    assert found(overlaps(frame, benchmark.limit(0))) == {}
+
+
+def test_plan_has_no_python(spark):
+    plan = REGISTRY["op3_spaced_seeds"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan) and "BroadcastHashJoin" in plan
+
+
+def test_whole_table(spark):
+    read = lambda name, key: dict(spark.read.parquet(f"{SF_DIR}/{name}.parquet").select(key, "text").collect())
+    assert found(REGISTRY["op3_spaced_seeds"](spark, SF_DIR)) == brute_force(read("documents", "doc_id"), read("benchmark", "item_id"))
