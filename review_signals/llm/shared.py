@@ -18,9 +18,12 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def bounded(rows: DataFrame, max_rows: int) -> DataFrame:
-    """A staged frame, marked for broadcast if it has at most ``max_rows`` rows; else the join shuffles as usual."""
-    return F.broadcast(rows) if rows.count() <= max_rows else rows
+def bounded(rows: DataFrame, max_rows: int, sized: str | None = None, max_bytes: int = 16 << 20) -> DataFrame:
+    """A staged frame, marked for broadcast if it has at most ``max_rows`` rows, and at most ``max_bytes`` in the binary
+    column ``sized``; else the join shuffles as usual."""
+    held = F.sum(F.octet_length(sized)) if sized else F.lit(0)
+    count, total = rows.agg(F.count(F.lit(1)), held).first()
+    return F.broadcast(rows) if count <= max_rows and (total or 0) <= max_bytes else rows
 
 
 def union(frames: list[DataFrame]) -> DataFrame:

@@ -180,15 +180,29 @@ def repeated_windows(docs: DataFrame, repeats: Repeats) -> DataFrame:
     return found.filter(F.col("window").isNull()).select("node", "first", "last").unionByName(late)
 
 
-def merged(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
-    """Runs of windows as disjoint byte ranges, in order."""
-    joined: list[tuple[int, int]] = []
-    for first, last in sorted(spans):
-        if joined and first <= joined[-1][1]:
-            joined[-1] = joined[-1][0], max(joined[-1][1], last + length)
-        else:
-            joined.append((first, last + length))
-    return joined
+def merged(first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Runs of windows as disjoint byte ranges, in order, one row of begin and end each."""
+    order = np.argsort(first, kind="stable")
+    begins, reach = first[order], np.maximum.accumulate(last[order] + length)
+    new = np.ones(len(begins), bool)
+    new[1:] = begins[1:] > reach[:-1]
+    starts = np.flatnonzero(new)
+    return np.column_stack([begins[starts], reach[np.append(starts[1:], len(begins)) - 1]])
+
+
+def ranges(windows: DataFrame, repeats: Repeats) -> DataFrame:
+    """Per text its removed byte ranges, merged, as pairs of 64-bit numbers in ``spans``."""
+    gathered = windows.groupBy("node").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [
+                merged(first.values.to_numpy(), last.values.to_numpy(), repeats.length).astype("<i8").tobytes()
+                for first, last in zip(batch.column("first"), batch.column("last"), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(held, pa.binary())], names=["node", "spans"])
+
+    return gathered.mapInArrow(task, "node long, spans binary")
 
 
 def deduplicate(docs: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:  # noqa: B008 - frozen
@@ -201,19 +215,18 @@ def deduplicate(docs: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:  #
     copies = bounded(copies, repeats.max_broadcast)
     classes = rows.filter(long_enough).join(copies, "node", "left").filter(
         F.col("kept_id").isNull() | (F.col("doc_id") == F.col("kept_id"))).select("node", "text")
-    windows = repeated_windows(classes, repeats)
-    spans = staged(windows.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "repeated-spans")
-    joined = rows.join(bounded(spans, repeats.max_broadcast), "node", "left").join(
+    spans = staged(ranges(repeated_windows(classes, repeats), repeats), "repeated-spans")
+    joined = rows.join(bounded(spans, repeats.max_broadcast, sized="spans"), "node", "left").join(
         copies.select("node", F.lit(True).alias("copied")), "node", "left")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             out: list[tuple] = []
             for raw_text, held, copied in zip(texts.slices(), part.column("spans").to_pylist(), part.column("copied").to_pylist(), strict=True):
-                ranges = [(0, len(raw_text))] if copied else merged([(s["first"], s["last"]) for s in held or ()], repeats.length)
-                ends = [0, *(end for _, end in ranges)]
-                kept = b"".join(raw_text[end:begin] for end, begin in zip(ends, [*(begin for begin, _ in ranges), len(raw_text)], strict=True))
-                out.append((len(raw_text), len(raw_text) - len(kept), len(ranges), kept))
+                gone = np.array([[0, len(raw_text)]]) if copied else np.frombuffer(held or b"", "<i8").reshape(-1, 2)
+                begins, ends = [*gone[:, 0].tolist(), len(raw_text)], [0, *gone[:, 1].tolist()]
+                kept = b"".join(raw_text[end:begin] for end, begin in zip(ends, begins, strict=True))
+                out.append((len(raw_text), len(raw_text) - len(kept), len(gone), kept))
             columns = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *(pa.array(column, pa.int64()) for column in columns[:3]), pa.array(columns[3], pa.binary())],
