@@ -149,7 +149,9 @@ def measure(docs: DataFrame, join: Join) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """The whole sets of some classes, from the text of one document of each (``nodes``: node, doc_id, text_key)."""
+    """The whole sets of some classes, from the text of one document of each (``nodes``: node, doc_id, text_key).
+
+    Only rows that repeat an id and its text come more than once."""
     wanted = bounded(nodes.select("node", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")), join.max_ids)
     rows = _keyed(docs)
     rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key")))
@@ -157,9 +159,28 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             values, bounds = shingle_sets(texts, join.words)
-            yield pa.RecordBatch.from_arrays([part.column("node"), _pieces(values, bounds)], names=["node", "shingles"])
+            cells = pa.array([_cells(values[low:high]) for low, high in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+            sizes = pa.array(np.diff(bounds).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("node"), sizes, _pieces(values, bounds), cells], names=["node", "size", "shingles", "cells"])
+
+    return rows.select("node", "text").mapInArrow(task, "node long, size long, shingles binary, cells binary")
+
+
+def _cells(values: np.ndarray) -> bytes:
+    """The set's parity bitmap with at least a cell per shingle."""
+    count = max(512, 1 << max(0, len(values) - 1).bit_length())
+    odd = np.bincount((mix(values) & np.uint64(count - 1)).astype(np.int64), minlength=count) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
 
-    return rows.select("node", "text").mapInArrow(task, "node long, shingles binary").dropDuplicates(["node"])
+def _cells_differ(first: bytes, second: bytes) -> int:
+    """Cells in which two bitmaps differ: at most |A - B| + |B - A|. The longer one is folded to the other's length,
+    as cells of a shorter bitmap are those of a longer one modulo its length."""
+    a, b = np.frombuffer(first, np.uint8), np.frombuffer(second, np.uint8)
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _u64(held: bytes) -> np.ndarray:
@@ -276,7 +297,7 @@ def list_rows(classes: DataFrame, docs: DataFrame, hot: np.ndarray, join: Join)
     rows = staged(classes.select("node", "n", "region").mapInArrow(prefixes("region", whole=False), _LISTED), "prefixes")
     marked = bounded(staged(rows.filter("rank < 0").select("node"), "mostly-hot"), join.max_ids)
     marked = staged(classes.select("node", "n", "doc_id", "text_key").join(marked, "node"), "mostly-hot-places")
-    sets = whole_sets(docs, marked, join).join(marked.select("node", "n"), "node")
+    sets = whole_sets(docs, marked, join).withColumnRenamed("size", "n")
     more = staged(sets.select("node", "n", "shingles").mapInArrow(prefixes("shingles", whole=True), _LISTED), "mostly-hot-prefixes")
     return rows.filter("rank >= 0").unionByName(more)
 
@@ -296,7 +317,20 @@ def _longs(bitmap: str) -> list[Column]:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) that are similar, by their whole sets."""
+    """The pairs (a, b) that are similar, by their whole sets. Bitmaps that differ too much spare most others the sets."""
+    compact = pairs.join(sets.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("cells").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("cells").alias("y")), "b")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("n", "m", "x", "y"))
+            kept = [
+                (100 + join.percent) * _cells_differ(x.as_buffer(), y.as_buffer()) <= (100 - join.percent) * (n.as_py() + m.as_py())
+                for n, m, x, y in zip(*columns, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    pairs = staged(compact.select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a long, b long").distinct(), "near-pairs")
     rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
 
@@ -326,11 +360,14 @@ def link_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     shared = staged(rows.groupBy("shingle").count().filter("count > 1").select("shingle"), "shared-shingles")
     members = staged(rows.join(bounded(shared, join.max_ids), "shingle"), "list-members")
     order = F.shiftleft("rank", 52) + F.col("node").bitwiseAND(F.lit((1 << 52) - 1))
-    centres = staged(members.groupBy("shingle").agg(F.min_by("node", order).alias("centre")), "list-centres")
+    centres = staged(members.groupBy("shingle").agg(F.min_by("node", order).alias("centre"), F.min("rank").alias("rank")), "list-centres")
     nodes = bounded(staged(members.select("node").distinct(), "list-nodes"), join.max_ids)
     facts = staged(classes.select("node", "n", *_longs("bitmap")).join(nodes, "node"), "list-facts")
 
-    tied = members.select("shingle", "node").join(centres, "shingle").filter("centre <> node").select("centre", "node").distinct()
+    # each class tries the first centre of its lists; what that misses is left to the lists' other components below
+    first_of = F.shiftleft("rank", 52) + F.col("centre").bitwiseAND(F.lit((1 << 52) - 1))
+    tied = members.select("shingle", "node").join(centres, "shingle").groupBy("node").agg(
+        F.min_by("centre", first_of).alias("centre")).filter("centre <> node")
     pairs = tied.join(facts.alias("x"), F.col("centre") == F.col("x.node")).join(facts.alias("y"), tied["node"] == F.col("y.node"))
     pairs = staged(pairs.filter(_can_link("x", "y", join)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "star-pairs")
     links = staged(links.unionByName(_verified(docs, classes, pairs, join)), "star-links")

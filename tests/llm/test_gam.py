@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+
+from review_signals.llm.gam import FEATURES, Boosting, features, fit, learn, score
+from review_signals.llm.queries import REGISTRY
+from review_signals.llm.text_arrays import as_texts
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_learns_a_pair_that_no_single_feature_shows():
+    generator = np.random.default_rng(0)
+    rows = generator.random((4000, 4))
+    labels = ((rows[:, 1] > 0.5) ^ (rows[:, 3] > 0.5)).astype(float)
+    model = fit(rows, labels)
+    assert (1, 3) in model.pairs
+    assert ((model.score(rows) > 0.5) == labels).mean() > 0.9
+    assert ((fit(rows, labels, Boosting(pairs=0)).score(rows) > 0.5) == labels).mean() < 0.7
+
+
+def test_score_is_the_sum_of_looked_up_additions():
+    generator = np.random.default_rng(1)
+    rows = generator.random((500, 3))
+    model = fit(rows, (rows[:, 0] + rows[:, 1] > 1).astype(float))
+    for row in rows[:50]:
+        total = model.intercept + sum(t[int((cut <= x).sum())] for t, cut, x in zip(model.tables, model.edges, row, strict=True))
+        place = [int((cut <= x).sum()) for cut, x in zip(model.pair_edges, row, strict=True)]
+        total += sum(t[place[a], place[b]] for (a, b), t in zip(model.pairs, model.pair_tables, strict=True))
+        assert np.isclose(model.score(row[None, :])[0], 1 / (1 + np.exp(-total)))
+
+
+def test_no_labels_one_class_and_constant_features():
+    nothing = fit(np.zeros((0, 3)), np.zeros(0))
+    assert nothing.score(np.ones((2, 3))).tolist() == [0.5, 0.5]
+    assert fit(np.ones((50, 3)), np.ones(50)).score(np.ones((1, 3)))[0] > 0.9
+
+
+def test_features_of_odd_texts():
+    table = features(as_texts(pa.array([None, "", " \n", "A", "é! ### 1\nx x x", "word " * 30_000])))
+    assert table.shape == (6, len(FEATURES)) and np.isfinite(table).all()
+    assert not table[0].any() and not table[1].any()
+
+
+def test_held_out_accuracy_over_the_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = {r.doc_id: r for r in REGISTRY["op4_additive_quality"](spark, sf_dir).collect()}
+    labels = dict(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").collect())
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+               for i, r in rows.items())
+    tested = [i for i in labels if rows[i].held_out]
+    assert sum(rows[i].predicted == labels[i] for i in tested) >= 0.97 * len(tested)
+
+
+def test_held_out_labels_and_other_columns_do_not_matter(spark, docs):
+    rows = [(i, "good words here and there.\n" * 3 if i % 2 else "BAD### " * 9) for i in range(200)]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(200)], LABELS)
+    flipped = spark.createDataFrame([(i, 1 - i % 2 if i in held else i % 2, 0) for i in range(200)] + [(None, 0, 0)], LABELS)
+    frame = docs(rows).selectExpr("*", "1 as score", "2 as features", "3 as quality")
+    scores = [{r.doc_id: r.score for r in score(frame, learn(frame, labels)).collect()},
+              {r.doc_id: r.score for r in score(docs(rows, lang="xx"), learn(docs(rows), flipped)).collect()}]
+    assert scores[0] == scores[1] and scores[0][1] > 0.9 > 0.1 > scores[0][2]
+
+
+def test_null_ids_repeated_rows_and_empty_tables(spark, docs):
+    frame = spark.createDataFrame([(None, None), (None, ""), (4, "a"), (4, "a")], "doc_id long, text string")
+    rows = score(frame, learn(frame, spark.createDataFrame([], LABELS))).collect()
+    assert [r.score for r in rows] == [0.5] * 4 and all(r.held_out for r in rows if r.doc_id is None)
+    assert score(docs([]), learn(docs([]), spark.createDataFrame([], LABELS))).collect() == []
