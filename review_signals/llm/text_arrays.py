@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 IS_SPACE = np.zeros(256, bool)
@@ -147,6 +147,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
             part = batch.slice(low, high - low)
             yield part, as_texts(part.column(column))
+        del batch
+        pa.default_memory_pool().release_unused()  # a Python worker outlives its tasks and should not hoard memory
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:
