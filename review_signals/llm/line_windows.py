@@ -80,30 +80,31 @@ def cut_lines(text: str, covered: list[int]) -> str:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with ``text`` cut; beside their columns ``n_lines`` (lines with a word), ``n_removed`` of them and
     ``n_spans`` (maximal removed runs)."""
-    later = later_windows(staged(windows(docs), "line-windows"))
+    later = staged(later_windows(staged(windows(docs), "line-windows")), "later-windows")
     own = [name for name in docs.columns if name not in ("n_lines", "n_removed", "n_spans")]
     keyed = docs.select(*own, F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash"))
-    joined = keyed.join(later, F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__key")), "left")
-    joined = joined.drop("__id", "__hash", *_KEY)
+    same = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__key"))
+    # only documents that lose lines go through Python
+    worded = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    zero = F.lit(0).cast("long")
+    whole = keyed.join(later.drop("__later"), same, "left_anti").select(
+        *own, F.coalesce(F.size(worded), zero).cast("long").alias("n_lines"), zero.alias("n_removed"), zero.alias("n_spans"))
+    touched = keyed.join(later, same).select(*own, "__later")
     schema = docs.select(*own).schema.add("n_lines", "long").add("n_removed", "long").add("n_spans", "long")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             lines = np.bincount(texts.owner(texts.lines[0]), minlength=len(texts)).astype(np.int64)
             removed, spans = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-            column, marks = part.column("text"), part.column("__later")
-            touched = np.flatnonzero(marks.is_valid().to_numpy(zero_copy_only=False))
-            if len(touched):
-                new = column.to_pylist()
-                for i in touched.tolist():
-                    covered = covered_lines(marks[i].as_py())
-                    new[i] = cut_lines(new[i], covered)
-                    removed[i] = len(covered)
-                    spans[i] = 1 + int((np.diff(np.array(covered)) > 1).sum())
-                column = pa.array(new, column.type)
-            columns = [column if name == "text" else part.column(name) for name in own]
+            new = part.column("text").to_pylist()
+            for i, first_lines in enumerate(part.column("__later").to_pylist()):
+                covered = covered_lines(first_lines)
+                new[i] = cut_lines(new[i], covered)
+                removed[i] = len(covered)
+                spans[i] = 1 + int((np.diff(np.array(covered)) > 1).sum())
+            columns = [pa.array(new, part.column("text").type) if name == "text" else part.column(name) for name in own]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(lines), pa.array(removed), pa.array(spans)], names=[*own, "n_lines", "n_removed", "n_spans"]
             )
 
-    return joined.mapInArrow(task, schema)
+    return whole.unionByName(touched.mapInArrow(task, schema))
