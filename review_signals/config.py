@@ -44,6 +44,9 @@ class ForestSettings:
     seed: int = 42
     subsampling: float = 0.8
     feature_subset: str = "sqrt"
+    # Rows are dealt to this many partitions by review id before training: bagging then does not depend on how the table
+    # was laid out. For large tables about as many as there are cores, and the same number to repeat a result.
+    partitions: int = 64
     # Score from which a review counts as flagged; None keeps the forest's own majority vote.
     threshold: float | None = None
 
@@ -62,8 +65,9 @@ class AlertRule:
 class SkewRule:
     """When a join key counts as hot, and how its rows are spread.
 
-    At most ``max_hot_keys`` keys are ever broadcast. Any key beyond those holds less than
-    1 / ``max_hot_keys`` of all rows, which an ordinary shuffle partition can take.
+    A key is hot if it has at least ``hot_rows`` rows and at least 1 / ``max_hot_keys`` of the rows of all such keys,
+    so no more than ``max_hot_keys`` keys can be hot. What is below takes an ordinary join, whose large partitions
+    adaptive execution splits.
     """
 
     hot_rows: int = 1_000_000

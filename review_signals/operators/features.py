@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,24 +50,24 @@ def behaviour_features(
     rows: DataFrame,
     reviewers: DataFrame,
     products: DataFrame,
-    from_same_rows: bool,
+    own: Collection[str] = (),
     rules: CrossRules = CrossRules(),
     skew: SkewRule = SkewRule(),
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Reviewer, product and cross features for rows that carry their text features already.
 
-    ``from_same_rows`` says that both lookups were computed from these rows, so that their totals tell how
-    many rows each key has here. Otherwise (lookups of the training part only) the rows are counted, or
-    ``keys_from``, a frame with the same keys that is cheaper to compute.
+    ``own`` names the keys (customer_id, product_id) whose lookup was computed from these very rows, so that its totals
+    tell how many rows each key has here. For the other key (lookups of the training part only) the rows are counted,
+    or ``keys_from``, a frame with the same keys that is cheaper to compute.
     """
     people, goods = as_reviewer_features(reviewers), as_product_features(products)
-    if from_same_rows:
-        by_reviewer, by_product = {"size": "rev_total_reviews"}, {"size": "prod_total_reviews"}
-    else:
-        counted = rows if keys_from is None else keys_from
-        by_reviewer = {"sizes": key_sizes(counted, ["customer_id"])}
-        by_product = {"sizes": key_sizes(counted, ["product_id"])}
+    counted = rows if keys_from is None else keys_from
+
+    def sizes(key: str, total: str) -> dict:
+        return {"size": total} if key in own else {"sizes": key_sizes(counted, [key])}
+
+    by_reviewer, by_product = sizes("customer_id", "rev_total_reviews"), sizes("product_id", "prod_total_reviews")
     joined = attach(rows, people, ["customer_id"], salt_by=["review_id"], rule=skew, **by_reviewer)
     joined = attach(joined, goods, ["product_id"], salt_by=["review_id"], rule=skew, **by_product)
     return with_cross_features(joined, rules)
@@ -75,24 +77,26 @@ def review_features(
     labeled: DataFrame,
     reviewers: DataFrame | None = None,
     products: DataFrame | None = None,
-    from_same_rows: bool = False,
+    own: Collection[str] = (),
     rules: CrossRules = CrossRules(),
     skew: SkewRule = SkewRule(),
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """The feature table: review_id, product_category, is_likely_fraud and the twenty features.
 
-    Without lookups the history is that of ``labeled`` itself. The text is measured first, so the bodies
-    never enter a shuffle.
+    A history that is not given is that of ``labeled`` itself. The text is measured first, so the bodies never enter a
+    shuffle.
     """
-    if reviewers is None or products is None:
-        reviewers, products, from_same_rows = reviewer_history(labeled), product_history(labeled), True
+    if reviewers is None:
+        reviewers, own = reviewer_history(labeled), {*own, "customer_id"}
+    if products is None:
+        products, own = product_history(labeled), {*own, "product_id"}
     measured = labeled if TEXT_FEATURES[0] in labeled.columns else with_text_features(labeled)
     slim = measured.select(
         "review_id", "customer_id", "product_id", "product_category", "is_likely_fraud", "star_rating",
         *TEXT_FEATURES,
     )
-    joined = behaviour_features(slim, reviewers, products, from_same_rows, rules, skew, keys_from)
+    joined = behaviour_features(slim, reviewers, products, own, rules, skew, keys_from)
     return fill_features(joined.select("review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS))
 
 
@@ -106,7 +110,7 @@ def enrich(reviews: DataFrame, reviewers: DataFrame, products: DataFrame,
     """
     rows = with_text_features(reviews).drop("review_body")
     if not reviews.isStreaming:
-        return fill_features(behaviour_features(rows, reviewers, products, False, rules, keys_from=reviews))
+        return fill_features(behaviour_features(rows, reviewers, products, (), rules, keys_from=reviews))
     joined = rows.join(as_reviewer_features(reviewers), "customer_id", "left").join(
         as_product_features(products), "product_id", "left"
     )

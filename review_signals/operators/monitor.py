@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from review_signals.config import AlertRule
 from review_signals.functions.scalars import as_int, share
 
+# fixed values: the output names fraud_count, avg_fraud_prob, total, fraud and fraud_rate, and the verdicts, which
+# consumers of these tables rely on
+
+
 def is_flagged() -> Column:
     return F.col("prediction") == 1.0
 

@@ -129,13 +129,20 @@ def weekday_velocity(reviews: DataFrame) -> DataFrame:
 
 
 def velocity_spikes(reviews: DataFrame, days_before: int = 7, factor: float = 1.35) -> DataFrame:
-    """Days whose volume exceeds the mean of the days before by the factor; one row per day is compared."""
+    """Days whose volume reaches the factor times the mean of the calendar days before; one row per day is compared.
+
+    A day without reviews counts as 0. Days that lie less than ``days_before`` after the first one have no full baseline
+    and are never spikes, nor are days after nothing but empty ones.
+    """
     daily = counts_by(reviews.where(F.col("review_date").isNotNull()), "review_date")
-    before = Window.partitionBy().orderBy("review_date").rowsBetween(-days_before, -1)
-    compared = daily.withColumn("baseline", F.avg("reviews").over(before))
-    return compared.where(F.col("reviews") >= F.col("baseline") * factor).withColumn(
-        "ratio", F.col("reviews") / F.col("baseline")
+    number = F.unix_date("review_date").cast("bigint")
+    before = Window.partitionBy().orderBy(number).rangeBetween(-days_before, -1)
+    first = F.min(number).over(Window.partitionBy())
+    compared = daily.select(
+        "*", (F.sum("reviews").over(before) / days_before).alias("baseline"), (number - first).alias("_age")
     )
+    spikes = compared.where((F.col("_age") >= days_before) & (F.col("reviews") >= F.col("baseline") * factor))
+    return spikes.withColumn("ratio", F.col("reviews") / F.col("baseline")).drop("_age")
 
 
 def top_reviewers(reviews: DataFrame, limit: int = 20) -> DataFrame:

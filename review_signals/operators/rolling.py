@@ -6,6 +6,8 @@ point in time, and windows only run over groups whose size the calendar bounds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,17 +52,21 @@ def rolling_counts(
     ts: str,
     row_id: str,
     horizon_seconds: int = 86_400,
-    slice_seconds: int = 3_600,
+    slice_seconds: Sequence[int] = (3_600, 1),
     rule: SkewRule = SkewRule(),
     name: str = "rolling_count",
 ) -> DataFrame:
     """Rows of the same key in [ts - horizon, ts], both ends included, added to every row.
 
     Every row counts +1 from its own time on and -1 just after the horizon has passed; the rolling count is
-    the running total of these steps. The running total is taken per key and time slice. What earlier
-    slices contribute enters as one carry row at the start of the slice, computed from slice sums, so that
-    neither the whole history of a key nor a join is needed.
+    the running total of these steps. The running total is taken per key and finest time slice. What earlier
+    slices contribute enters as one carry row at the start of the slice. Carries are computed level by level from
+    the sums of slices: of ``slice_seconds``, each divides the one before it, and a window over slices stays inside
+    one slice of the level above. So a busy hour of one key spreads over its seconds, and no join is needed.
     """
+    for above, below in zip(slice_seconds, slice_seconds[1:]):
+        if above % below:
+            raise ValueError("each slice must divide the one before it")
     at = epoch_micros(F.col(ts), rows.schema[ts].dataType)
     arrivals = rows.where(F.col(ts).isNotNull()).groupBy(key, at.alias("_at")).agg(F.count("*").alias("_n"))
     steps = arrivals.select(
@@ -75,22 +81,30 @@ def rolling_counts(
                 ),
             )
         ),
-    ).withColumn("_slice", F.floor(F.col("_at") / (slice_seconds * MICROS_PER_SECOND)))
-
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        steps.groupBy(key, "_slice")
-        .agg(F.sum("_step").alias("_sum"))
-        .select(
-            key,
-            (F.col("_slice") * slice_seconds * MICROS_PER_SECOND).alias("_at"),
+    )
+    levels = [f"_slice{i}" for i in range(len(slice_seconds))]
+    steps = steps.withColumns({
+        level: F.floor(F.col("_at") / (seconds * MICROS_PER_SECOND))
+        for level, seconds in zip(levels, slice_seconds)
+    })
+    carries = None
+    for depth, seconds in enumerate(slice_seconds):
+        upper, level = levels[:depth], levels[depth]
+        slices = steps.groupBy(key, *upper, level).agg(F.sum("_step").alias("_sum"))
+        if carries is not None:
+            # What the level above hands down comes before the first of its slices, as a slice without a number.
+            handed = carries.select(key, *upper, F.lit(None).cast("bigint").alias(level), F.col("_step").alias("_sum"))
+            slices = slices.unionByName(handed)
+        order = F.col(level).asc_nulls_first()
+        earlier = Window.partitionBy(key, *upper).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        carries = slices.select(
+            key, *upper, level,
+            (F.col(level) * seconds * MICROS_PER_SECOND).alias("_at"),
             F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_step"),
             F.lit(0).cast("bigint").alias("_n"),
-            "_slice",
-        )
-    )
+        ).where(F.col(level).isNotNull())
     # RANGE frame: everything of the same moment counts at once, whichever row of it comes first.
-    running = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(key, *levels).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
     moments = (
         steps.unionByName(carries)
         .select(key, "_at", "_n", F.sum("_step").over(running).alias(name))

@@ -26,10 +26,10 @@ def attach(
     """Join ``stats`` (one row per key) to ``rows`` without sending a hot key to a single task.
 
     The rows per key come either from the column ``size`` of ``stats`` or from ``sizes``, a frame as made
-    by :func:`key_sizes` (needed when ``stats`` was computed from other rows). Keys of at least
-    ``rule.hot_rows`` rows, at most ``rule.max_hot_keys`` of them, are answered from a broadcast of that
-    bounded size. Their rows get a salted key in the shuffle join, which spreads them evenly and lets them
-    pass unmatched. All other rows take the ordinary join, whose strategy Spark picks by size.
+    by :func:`key_sizes` (needed when ``stats`` was computed from other rows). Hot keys by ``rule``, of which
+    there can't be more than ``rule.max_hot_keys``, are answered from a broadcast of that bounded size. Their
+    rows get a salted key in the shuffle join, which spreads them evenly and lets them pass unmatched. All
+    other rows take the ordinary join, whose strategy Spark picks by size and whose large partitions it splits.
     """
     values = [c for c in stats.columns if c not in on]
     # Null keys match nothing. Dropping them here gives both uses below the same plan, whose shuffle Spark
@@ -40,11 +40,13 @@ def attach(
     carried = [*values, "_found"]
 
     measured, weight = (stats, size) if sizes is None else (sizes.where(has_key), "_size")
-    top = (
-        measured.where(F.col(weight) >= rule.hot_rows)
-        .orderBy(F.desc(weight), *on)
-        .limit(rule.max_hot_keys)
-    )
+    large = measured.where(F.col(weight) >= rule.hot_rows)
+    # A share of the sum is reached by a bounded number of keys; the sum is one row, read as a scalar. The added zero
+    # is made of all figures: the plan then reads the same columns as the others and shares their shuffle.
+    used = ", ".join(values if sizes is None else [weight])
+    whole = F.sum(F.expr(f"{weight} + pmod(xxhash64({used}), 1)"))
+    least = large.agg((whole / rule.max_hot_keys).alias("least")).scalar()
+    top = large.where(F.col(weight) >= least)
     if sizes is None:
         top = top.withColumn("_found", F.lit(True))
     else:

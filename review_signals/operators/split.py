@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from review_signals.config import SkewRule, SplitRule
+from review_signals.config import SplitRule
 from review_signals.functions.scalars import as_int, key_bucket, share
-from review_signals.operators.skew import attach, key_sizes
 
 
 def is_train(key: str = "customer_id", rule: SplitRule = SplitRule()) -> Column:
@@ -50,11 +49,13 @@ def split_balance(labeled: DataFrame, key: str = "customer_id", rule: SplitRule
     )
 
 
-def restrict_to_keys(rows: DataFrame, keys: DataFrame, on: str, salt_by: str,
-                     skew: SkewRule = SkewRule()) -> DataFrame:
-    """Rows whose key is in a given set, for sets that no expression describes; hot keys are spread."""
-    wanted = keys.select(on).distinct()
-    return attach(rows, wanted, [on], salt_by=[salt_by], sizes=key_sizes(rows, [on]), how="inner", rule=skew)
+def restrict_to_keys(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is in a given set, for sets that no expression describes.
+
+    A plain semi join: Spark broadcasts a small set, and splits the partitions of hot keys of a shuffled one, as the set
+    has one row per key.
+    """
+    return rows.join(keys.select(on).distinct(), on, "left_semi")
 
 
 def row_sample(rows: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -64,5 +65,5 @@ def row_sample(rows: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
 
 def key_sample(rows: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Repeatable row sample of about ``fraction``, chosen by a hash of the key."""
-    resolution = 10_000
-    return rows.where(key_bucket(F.col(key), seed, resolution) < round(fraction * resolution))
+    digests = 1 << 32
+    return rows.where(key_bucket(F.col(key), seed, digests) < round(fraction * digests))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ def inspect(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
     shown = ["product_category", "star_rating", "helpful_votes", "total_votes", "verified_purchase"]
     return {
         "columns": P.column_profile(rows),
-        "categories": P.category_counts(rows).limit(20),
+        "categories": P.category_counts(rows),
         "ratings": P.rating_counts(rows),
         "verified": P.verified_counts(rows),
         "sample": P.sample_rows(rows, "review_id", shown, "review_headline"),
@@ -81,33 +80,35 @@ def build_split(spark: SparkSession, labeled: str, train_out: str, test_out: str
     return S.split_balance(rows, rule=rule)
 
 
-def build_lookups(spark: SparkSession, train: str, reviewers_out: str, products_out: str,
-                  buckets: int | None = None) -> None:
+def build_lookups(spark: SparkSession, train: str, reviewers_out: str, products_out: str, buckets: int | None = None,
+                  tables: tuple[str, str] | None = None) -> None:
     """Reviewer and product history of the training table.
 
-    With ``buckets`` both are also registered as bucketed tables (named by their folder), which lets a
-    stream join them without moving them.
+    With ``buckets`` both are also registered as bucketed ``tables``. Whoever reads them by these names, instead of by
+    path, can join them without moving them.
     """
+    if bool(buckets) != bool(tables):
+        raise ValueError("bucketed lookups need a number of buckets and two table names")
     rows = read_table(spark, train)
-    for history, path, key in (
-        (H.reviewer_history(rows), reviewers_out, "customer_id"),
-        (H.product_history(rows), products_out, "product_id"),
-    ):
+    histories = (H.reviewer_history(rows), reviewers_out, "customer_id"), (H.product_history(rows), products_out, "product_id")
+    for i, (history, path, key) in enumerate(histories):
         if buckets:
-            write_bucketed(history, path.rstrip("/").split("/")[-1].split(".")[0], path, key, buckets)
+            write_bucketed(history, tables[i], path, key, buckets)
         else:
             write_plain(history, path)
 
 
 def build_features(spark: SparkSession, labeled: str, out: str, reviewers: str | None = None,
                    products: str | None = None) -> DataFrame:
-    """Labelled reviews to the feature table; with saved lookups, the history is theirs."""
-    rows = read_table(spark, labeled)
-    if reviewers and products:
-        features = X.review_features(rows, read_table(spark, reviewers), read_table(spark, products))
-    else:
-        features = X.review_features(rows)
-    write_plain(features, out)
+    """Labelled reviews to the feature table. A saved lookup gives its history; a missing one is made of the rows.
+
+    For a split by reviewer, leak-free features take the products' history from the training table and the reviewers'
+    from the rows themselves: no reviewer is on both sides, so their own rows are all there is of them.
+    """
+    saved = {
+        name: read_table(spark, path) for name, path in (("reviewers", reviewers), ("products", products)) if path
+    }
+    write_plain(X.review_features(read_table(spark, labeled), **saved), out)
     return read_table(spark, out)
 
 
@@ -217,8 +218,3 @@ def monitor(spark: SparkSession, sink: str) -> dict[str, DataFrame]:
         "alerts": W.product_alerts(predictions),
         "categories": W.category_rate(predictions),
     }
-
-
-def with_threshold(settings: ForestSettings, threshold: float) -> ForestSettings:
-    """Evaluate with the threshold used when serving."""
-    return replace(settings, threshold=threshold)

@@ -215,11 +215,27 @@ features as (
 
 _FEATURES = _features("labeled")
 _FEATURE_NAMES = (
-    "rev_total_reviews rev_avg_rating rev_rating_stddev rev_pct_verified rev_days_active rev_max_per_day "
-    "prod_total_reviews prod_avg_rating prod_pct_5star prod_pct_verified prod_days_active txt_body_length "
-    "txt_word_count txt_exclamation_count txt_caps_word_count txt_caps_ratio txt_sentiment "
-    "xf_rating_vs_reviewer xf_rating_vs_product xf_extreme_review_neutral_product"
-).split()
+    "rev_total_reviews",
+    "rev_avg_rating",
+    "rev_rating_stddev",
+    "rev_pct_verified",
+    "rev_days_active",
+    "rev_max_per_day",
+    "prod_total_reviews",
+    "prod_avg_rating",
+    "prod_pct_5star",
+    "prod_pct_verified",
+    "prod_days_active",
+    "txt_body_length",
+    "txt_word_count",
+    "txt_exclamation_count",
+    "txt_caps_word_count",
+    "txt_caps_ratio",
+    "txt_sentiment",
+    "xf_rating_vs_reviewer",
+    "xf_rating_vs_product",
+    "xf_extreme_review_neutral_product",
+)
 
 
 def _histogram(bins: int, condition: str = "true") -> str:
@@ -234,6 +250,48 @@ _CUT = f"""
 encoded as (select {_MESSAGE_FIELDS}::varchar as message, * from docs),
 split_up as (select *, length(message) % 11 = 0 as is_cut from encoded)"""
 
+def _ranked(name: str, score: str) -> str:
+    """Outcomes and curve of one rule score. A curve has a point for every distinct score, from the highest on; the areas
+    are sums of trapezoids, and the precision-recall curve starts level with its first point."""
+    return f"""
+{name} as (select case when star_rating >= 4 then 1 else 0 end as label, {score} as score from predictions),
+{name}_points as (
+  select score, sum(label) as hits, count(*) as n from {name} group by score),
+{name}_curve as (
+  select sum(hits) over w as tp, sum(n - hits) over w as fp, score from {name}_points
+  window w as (order by score desc rows unbounded preceding)),
+{name}_steps as (
+  select tp, fp, coalesce(lag(tp) over o, 0) as tp0, coalesce(lag(fp) over o, 0) as fp0, tp / (tp + fp) as p,
+         coalesce(lag(tp / (tp + fp)) over o, tp / (tp + fp)) as p0, max(tp) over () as pos, max(fp) over () as neg
+  from {name}_curve window o as (order by score desc)),
+{name}_areas as (
+  select sum((fp - fp0) * (tp + tp0) / 2.0::double) / (any_value(pos) * any_value(neg))::double as roc_auc,
+         sum((tp - tp0) * (p + p0) / 2) / any_value(pos)::double as pr_auc from {name}_steps),
+{name}_cells as (
+  select count(*)::double as n, count(*) filter (label = 0 and score < 0.3)::double as tn,
+         count(*) filter (label = 0 and score >= 0.3)::double as fp, count(*) filter (label = 1 and score < 0.3)::double as fn,
+         count(*) filter (label = 1 and score >= 0.3)::double as tp from {name}),
+{name}_metrics as (
+  select unnest(['accuracy', 'weighted_precision', 'weighted_recall', 'f1', 'roc_auc', 'pr_auc']) as metric,
+         unnest([(tn + tp) / n, (tn / (tn + fn) * (tn + fp) + tp / (tp + fp) * (fn + tp)) / n, (tn + tp) / n,
+                 (2 * tn / (2 * tn + fp + fn) * (tn + fp) + 2 * tp / (2 * tp + fp + fn) * (fn + tp)) / n,
+                 roc_auc, pr_auc]) as {name}
+  from {name}_cells, {name}_areas)"""
+
+
+_BY_VALUE = _ranked("by_value", "fraud_probability")
+_BY_NUMBER = _ranked("by_number", "(review_id::bigint * 37 % 997) / 997")
+
+_CLOSED_ALERTS = f"""with {_PREDICTIONS},
+        hits as (select *, time_bucket(interval 3 hours, "timestamp") as slot from predictions where prediction = 1),
+        placed as (select *, slot as window_start from hits
+                   union all select *, slot - interval 3 hours as window_start from hits)
+        select cast(p.window_start as varchar) as window_start,
+               cast(p.window_start + interval 6 hours as varchar) as window_end, product_category,
+               count(*) as fraud_count, round(avg(fraud_probability), 6) as avg_fraud_prob
+        from placed p group by p.window_start, product_category
+        having count(*) >= 3 and p.window_start + interval 6 hours <= (select max("timestamp") from hits) - interval 10 minutes"""
+
 ORACLE: dict[str, str] = {
     "scan_profile": "\nunion all\n".join(
         f"""select {i}::int as position, '{c}' as column_name, '{t}' as data_type,
@@ -245,11 +303,12 @@ ORACLE: dict[str, str] = {
     ),
     "scan_sample": "select doc_id, lang, source, substr(text, 1, 60) as headline from documents order by doc_id limit 5",
     "json_encode": f"with {_DOCS} select review_id as key, {_MESSAGE_FIELDS}::varchar as value from docs",
-    "json_decode": f"""with {_DOCS}, {_CUT}
+    "json_decode": f"""with {_DOCS}
         select review_id, customer_id, product_id, product_category, star_rating, helpful_votes, total_votes,
                verified_purchase, review_body, cast(review_date as varchar) as review_date,
-               coalesce(cast(is_likely_fraud as varchar), '') as is_likely_fraud
-        from split_up where not is_cut""",
+               coalesce(cast(is_likely_fraud as varchar), '') as is_likely_fraud,
+               is_likely_fraud is null as is_likely_fraud_missing
+        from docs""",
     "json_dead_letters": f"""with {_DOCS}, {_CUT}
         select substr(message, 1, 40) as malformed, count(*) as messages from split_up where is_cut group by 1""",
     "curate_reviews": f"""with {_RAW} select * replace (cast(review_date as varchar) as review_date) from raw
@@ -275,7 +334,7 @@ ORACLE: dict[str, str] = {
     ),
     "helpful_ratio_histogram": _histogram(20),
     "helpful_ratio_histogram_10": _histogram(10),
-    "helpful_ratio_sampled": _histogram(20, f"{_bucket('review_id', 10000)} < 100"),
+    "helpful_ratio_sampled": _histogram(20, f"{_bucket('review_id', 1 << 32)} < {round(0.01 * (1 << 32))}"),
     "helpful_extremes": _on_reviews(
         """select count(*) as voted_reviews,
                   round(avg(cast(helpful_votes = 0 as int)), 6) as share_none_helpful,
@@ -302,10 +361,12 @@ ORACLE: dict[str, str] = {
     ),
     "velocity_spikes": _on_reviews(
         """, daily as (select review_date, count(*) as reviews from reviews group by 1),
-           compared as (select *, avg(reviews) over (order by review_date
-                                                     rows between 7 preceding and 1 preceding) as base from daily)
-           select cast(review_date as varchar) as review_date, reviews, round(base, 6) as baseline, round(reviews / base, 6) as ratio
-           from compared where reviews >= base * 1.35"""
+           calendar as (select unnest(generate_series(min(review_date), max(review_date), interval 1 day))::date as review_date from daily),
+           filled as (select c.review_date, coalesce(d.reviews, 0) as reviews from calendar c left join daily d using (review_date)),
+           compared as (select *, avg(reviews) over (order by review_date rows between 7 preceding and 1 preceding) as base,
+                               row_number() over (order by review_date) as age from filled)
+           select cast(review_date as varchar) as review_date, reviews, round(base, 6) as baseline,
+                  round(reviews / base, 6) as ratio from compared where age > 7 and reviews >= base * 1.35 and base > 0"""
     ),
     "top_reviewers": _on_reviews(
         """, days as (select date_diff('day', min(review_date), max(review_date)) + 1 as n from reviews)
@@ -402,7 +463,12 @@ ORACLE: dict[str, str] = {
         f"select review_id, case when {_bucket('review_id')} < 70 then 'train' else 'test' end as split from reviews"
     ),
     "key_sample": _on_reviews(
-        f"select review_id, customer_id, product_id from reviews where {_bucket('review_id', 10000)} < 100"
+        f"""select review_id, customer_id, product_id from reviews
+            where {_bucket('review_id', 1 << 32)} < {round(0.01 * (1 << 32))}"""
+    ),
+    "key_sample_small": _on_reviews(
+        f"""select review_id, customer_id, product_id from reviews
+            where {_bucket('review_id', 1 << 32)} < {round(0.00055 * (1 << 32))}"""
     ),
     "reviewer_lookup": _on_reviews(
         f""", train as (select * from reviews where {_bucket('customer_id')} < 70),
@@ -478,6 +544,20 @@ ORACLE: dict[str, str] = {
         ),
         f", {_FEATURES}",
     ),
+    "score_reviews": _on_labeled(
+        f"""select review_id, product_category, is_likely_fraud, true as score_is_share, true as verdict_follows
+            from labeled where {_bucket('review_id')} >= 70"""
+    ),
+    "ranking_metrics": f"""with {_PREDICTIONS}, {_BY_VALUE}
+        select 'by_value' as model, round(roc_auc, 6) as roc_auc, round(pr_auc, 6) as pr_auc from by_value_areas""",
+    "model_comparison": f"""with {_PREDICTIONS}, {_BY_VALUE}, {_BY_NUMBER}
+        select metric, round(by_number, 6) as by_number, round(by_value, 6) as by_value
+        from by_value_metrics join by_number_metrics using (metric)""",
+    "partitioned_roundtrip": _on_reviews(
+        """select review_id, customer_id, product_id, product_category, star_rating,
+                  cast(review_date as varchar) as review_date from reviews where product_category = 'PROMO'"""
+    ),
+    "stream_sliding_alerts": _CLOSED_ALERTS,
     "apply_threshold": "select event_id, cast(value / 497 >= 0.05 as int)::double as prediction from events",
     "monitor_totals": f"""with {_PREDICTIONS}
         select count(*) as scored, count(*) filter (prediction = 1) as flagged,
@@ -485,7 +565,8 @@ ORACLE: dict[str, str] = {
     "monitor_recent": f"""with {_PREDICTIONS}
         select strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') as "timestamp", review_id, product_id, product_category, star_rating,
                round(fraud_probability, 4) as fraud_probability,
-               case prediction when 1 then 'Fraud' when 0 then 'Legit' else '' end as prediction
+               case prediction when 1 then 'Fraud' when 0 then 'Legit' else '' end as prediction,
+               prediction is null as prediction_missing
         from predictions order by predictions."timestamp" desc, review_id limit 50""",
     "monitor_product_alerts": f"""with {_PREDICTIONS}
         select product_id, product_category, count(prediction) as fraud_count,
@@ -503,3 +584,5 @@ ORACLE: dict[str, str] = {
                count(*) as fraud_count, round(avg(fraud_probability), 6) as avg_fraud_prob
         from placed p group by p.window_start, product_category having count(*) >= 3""",
 }
+
+ORACLE["stream_json_decode"] = ORACLE["json_decode"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from review_signals.operators import split as S
 from review_signals.schemas import FEATURE_COLUMNS, MESSAGE_COLUMNS
 from review_signals.sources import messages as J
 from review_signals.sources import standin as D
-from review_signals.sources.tables import read_table, stage
+from review_signals.session import shared_dir
+from review_signals.sources.tables import read_table, stage, write_by_category
+from review_signals.streaming import scoring as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,8 +45,14 @@ def rounded(rows: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return rows.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def with_missing(rows: DataFrame, *columns: str) -> DataFrame:
+    """Beside each column a flag that is never null: a gap and an empty value can't be mixed up."""
+    return rows.withColumns({f"{c}_missing": F.col(c).isNull() for c in columns})
+
+
 def as_text(rows: DataFrame, *columns: str) -> DataFrame:
-    """Dates, times and flags as text, gaps as empty text: a result then reads the same in every client."""
+    """Dates, times and flags as text, gaps as empty text: a result then reads the same in every client. Where gaps can
+    occur, :func:`with_missing` tells them from empty values."""
     return rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns})
 
 
@@ -77,8 +86,11 @@ def _damaged_messages(spark, d):
 
 @query
 def json_decode(spark, d):
-    decoded = J.valid_messages(J.decode_messages(_damaged_messages(spark, d))).select(*MESSAGE_COLUMNS)
-    return as_text(decoded, "is_likely_fraud")
+    messages = J.encode_messages(D.document_reviews(spark, d)).select(
+        F.col("value").cast("binary").alias("value"), F.lit(None).cast("timestamp").alias("timestamp")
+    )
+    decoded = J.valid_messages(J.decode_messages(messages)).select(*MESSAGE_COLUMNS)
+    return as_text(with_missing(decoded, "is_likely_fraud"), "is_likely_fraud")
 
 
 @query
@@ -292,7 +304,7 @@ def split_semi_join(spark, d):
     rows = D.reviews(spark, d)
     buyers = D.table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
     keys = buyers.select(F.col("c_custkey").cast("string").alias("customer_id"))
-    return S.restrict_to_keys(rows, keys, "customer_id", "review_id").select(*SPLIT_COLUMNS)
+    return S.restrict_to_keys(rows, keys, "customer_id").select(*SPLIT_COLUMNS)
 
 
 @query
@@ -313,6 +325,11 @@ def key_sample(spark, d):
     return S.key_sample(D.reviews(spark, d), "review_id", 0.01).select(*SPLIT_COLUMNS)
 
 
+@query
+def key_sample_small(spark, d):
+    return S.key_sample(D.reviews(spark, d), "review_id", 0.00055).select(*SPLIT_COLUMNS)
+
+
 # --- histories and features -----------------------------------------------------------------------
 
 LOOKUP_ROUNDING = ("rh_avg_rating", "rh_rating_stddev", "rh_pct_verified")
@@ -343,16 +360,22 @@ def text_features(spark, d):
 @query
 def cross_features(spark, d):
     rows = D.reviews(spark, d).withColumns({c: F.lit(0) for c in X.TEXT_FEATURES})
-    joined = X.behaviour_features(rows, H.reviewer_history(rows), H.product_history(rows), from_same_rows=True)
+    joined = X.behaviour_features(rows, H.reviewer_history(rows), H.product_history(rows), OWN_KEYS)
     cross = joined.select("review_id", "xf_rating_vs_reviewer", "xf_rating_vs_product",
                           "xf_extreme_review_neutral_product")
     return rounded(cross, "xf_rating_vs_reviewer", "xf_rating_vs_product")
 
 
+OWN_KEYS = ("customer_id", "product_id")
+
+
+def _labelled(spark, d):
+    """Labelled and measured reviews, without texts: labelled once and written, as histories and features read them."""
+    return stage(D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d), "labelled")
+
+
 def _features(spark, d):
-    labeled = D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d)
-    history = D.reviews(spark, d)
-    return X.review_features(labeled, H.reviewer_history(history), H.product_history(history), from_same_rows=True)
+    return X.review_features(_labelled(spark, d))
 
 
 @query
@@ -363,13 +386,9 @@ def review_features(spark, d):
 @query
 def train_history_features(spark, d):
     """All reviews, with the history of the training reviewers only: what a leak-free evaluation uses."""
-    labeled = D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d)
-    everyone = D.reviews(spark, d)
-    train = S.train_part(everyone)
-    features = X.review_features(
-        labeled, H.reviewer_history(train), H.product_history(train), keys_from=everyone
-    )
-    return rounded(features, *FEATURE_ROUNDING)
+    labeled = _labelled(spark, d)
+    train = S.train_part(labeled)
+    return rounded(X.review_features(labeled, H.reviewer_history(train), H.product_history(train)), *FEATURE_ROUNDING)
 
 
 @query
@@ -423,15 +442,39 @@ def feature_stddev(spark, d):
 
 @query
 def score_reviews(spark, d):
-    """Train on the training rows, score the held-out rows; few trees, as only the plumbing is shown."""
+    """Train on the training rows, score the held-out rows. Scores depend on the forest, so what must hold for any of
+    them is shown: they are shares, and verdicts follow from them."""
     features = stage(_features(spark, d), "features")
-    model = M.train(S.train_part(features, key="review_id"), ForestSettings(trees=5, depth=5))
-    held_out = S.test_part(features, key="review_id")
-    return M.score(held_out, model, SERVING_THRESHOLD).select(
-        "review_id", "product_category", "is_likely_fraud", "fraud_probability", "prediction"
+    model = M.train(S.train_part(features, key="review_id"), ForestSettings())
+    score = F.col("fraud_probability")
+    verdict = F.when(score >= SERVING_THRESHOLD, 1.0).otherwise(0.0)
+    return M.score(S.test_part(features, key="review_id"), model, SERVING_THRESHOLD).select(
+        "review_id", "product_category", "is_likely_fraud",
+        score.between(0.0, 1.0).alias("score_is_share"), (F.col("prediction") == verdict).alias("verdict_follows"),
     )
 
 
+def _ranked(spark, d, score: str):
+    """Events with a label, and a score by one of two rules, at least 0.3 of which is a hit."""
+    events = D.predictions(spark, d)
+    scores = {"by_value": F.col("fraud_probability"), "by_number": (F.col("review_id").cast("bigint") * 37 % 997) / 997}
+    return events.select(
+        F.when(F.col("star_rating") >= 4, 1.0).otherwise(0.0).alias("label"), scores[score].alias("fraud_probability")
+    ).withColumn("prediction", flagged(F.col("fraud_probability"), 0.3))
+
+
+@query
+def ranking_metrics(spark, d):
+    found = M.evaluate(_ranked(spark, d, "by_value"), "by_value")
+    return rounded(found.select("model", "roc_auc", "pr_auc"), "roc_auc", "pr_auc")
+
+
+@query
+def model_comparison(spark, d):
+    both = [M.evaluate(_ranked(spark, d, score), score) for score in ("by_value", "by_number")]
+    return rounded(M.compare(*both), "by_value", "by_number")
+
+
 @query
 def apply_threshold(spark, d):
     events = D.table(spark, d, "events")
@@ -439,6 +482,54 @@ def apply_threshold(spark, d):
     return events.select("event_id", flagged(score, SERVING_THRESHOLD).alias("prediction"))
 
 
+# --- writes and streams ---------------------------------------------------------------------------
+
+
+def _workspace(spark):
+    return f"{shared_dir(spark)}/queries/{uuid.uuid4().hex}"
+
+
+@query
+def partitioned_roundtrip(spark, d):
+    """The curated table written by category, and one category read back."""
+    path = _workspace(spark)
+    write_by_category(D.reviews(spark, d), path)
+    kept = read_table(spark, path).where(F.col("product_category") == "PROMO")
+    return as_text(kept.select(*SPLIT_COLUMNS, "product_category", "star_rating", "review_date"), "review_date")
+
+
+def _worked_off(started):
+    started.awaitTermination()
+    if started.exception():
+        raise started.exception()
+
+
+@query
+def stream_sliding_alerts(spark, d):
+    """Predictions that arrive in two parts, each worked off by a start of the same query: closed windows, once each."""
+    base, rows = _workspace(spark), D.predictions(spark, d)
+    middle = rows.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
+    early = F.unix_micros(F.col("timestamp").cast("timestamp")) <= middle
+    typed = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    for part in (typed.where(early), typed.where(~early)):
+        part.write.mode("append").parquet(f"{base}/in")
+        alerts = W.sliding_alerts(T.prediction_stream(spark, f"{base}/in"), EVENT_ALERTS, keys=("product_category",))
+        _worked_off(T.start_sink(alerts, f"{base}/out", "alerts", f"{base}/checkpoint", interval=None))
+    return as_text(rounded(spark.read.parquet(f"{base}/out"), "avg_fraud_prob"), "window_start", "window_end")
+
+
+@query
+def stream_json_decode(spark, d):
+    """All documents as messages through a stream that is started twice, into a table."""
+    base = _workspace(spark)
+    messages = J.encode_messages(D.document_reviews(spark, d))
+    for part in (0, 1):
+        J.publish_to_files(messages.where(F.crc32(F.col("key").cast("binary")) % 2 == part), f"{base}/in")
+        decoded = J.valid_messages(J.decode_messages(J.file_stream(spark, f"{base}/in"))).select(*MESSAGE_COLUMNS)
+        _worked_off(T.start_sink(decoded, f"{base}/out", "decoded", f"{base}/checkpoint", interval=None))
+    return as_text(with_missing(spark.read.parquet(f"{base}/out"), "is_likely_fraud"), "is_likely_fraud")
+
+
 # --- monitoring -----------------------------------------------------------------------------------
 
 
@@ -449,8 +540,8 @@ def monitor_totals(spark, d):
 
 @query
 def monitor_recent(spark, d):
-    return as_text(W.recent(D.predictions(spark, d)).withColumn(
-        "timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "prediction")
+    newest = with_missing(W.recent(D.predictions(spark, d)), "prediction")
+    return as_text(newest.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "prediction")
 
 
 @query

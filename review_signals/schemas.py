@@ -19,14 +19,34 @@ MESSAGE_SCHEMA = """
     review_body string, review_date string, is_likely_fraud boolean
 """
 
-MESSAGE_COLUMNS = tuple(part.split()[0] for part in MESSAGE_SCHEMA.split(","))
+MESSAGE_COLUMNS = (
+    "review_id",
+    "customer_id",
+    "product_id",
+    "product_category",
+    "star_rating",
+    "helpful_votes",
+    "total_votes",
+    "verified_purchase",
+    "review_body",
+    "review_date",
+    "is_likely_fraud",
+)
 
 PREDICTION_SCHEMA = """
     review_id string, product_id string, product_category string, star_rating int,
     prediction double, fraud_probability double, timestamp timestamp
 """
 
-PREDICTION_COLUMNS = tuple(part.split()[0] for part in PREDICTION_SCHEMA.split(","))
+PREDICTION_COLUMNS = (
+    "review_id",
+    "product_id",
+    "product_category",
+    "star_rating",
+    "prediction",
+    "fraud_probability",
+    "timestamp",
+)
 
 # --- fixed values: feature names, in model order -------------------------------------------------
 REVIEWER_FEATURES = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,9 +29,15 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    Only where the setting is missing, as in local tests, a temporary folder is used instead.
+    Only a local session may do without the setting and gets a temporary folder. On a cluster, each machine would write
+    to a folder of its own, so a missing setting is an error there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or _local_dir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master or 'the cluster'} share")
+        configured = _local_dir()
     return configured.rstrip("/")
 
 

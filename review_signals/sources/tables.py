@@ -25,30 +25,25 @@ def read_table(spark: SparkSession, *paths: str, hint: str = "", schema: str | N
         raise
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows on all cores: adds a shuffle only where a scan has fewer tasks than the cluster has cores.
-
-    That is the case for a few small or unsplittable files. A large table has more tasks than cores and is
-    returned as it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+def dealt(rows: DataFrame, key: str, partitions: int) -> DataFrame:
+    """Rows in a layout that only their content decides: dealt by a key, sorted by it and then by all columns."""
+    others = [c for c in rows.columns if c != key]
+    return rows.repartition(partitions, key).sortWithinPartitions(key, *others)
 
 
-def write_by_category(rows: DataFrame, path: str, rebalance: bool = False, max_records: int = 5_000_000) -> None:
-    """Overwrite a table partitioned by product_category, the column readers prune on.
+def write_partitioned(rows: DataFrame, path: str, *keys: str, rebalance: bool = True, max_records: int = 5_000_000) -> None:
+    """Overwrite a table partitioned by the columns that readers prune on.
 
-    Every task writes its own file per category, so a large category needs no shuffle and no large task.
-    ``rebalance`` adds one shuffle that merges small files; Spark splits the large categories in it.
+    One shuffle brings the rows of a partition together, so that it gets few files; Spark splits large ones in it.
+    Without ``rebalance`` nothing is shuffled and every task writes its own file per partition.
     """
     if rebalance:
-        rows = rows.hint("rebalance", "product_category")
-    (
-        rows.write.mode("overwrite")
-        .option("maxRecordsPerFile", max_records)
-        .partitionBy("product_category")
-        .parquet(path)
-    )
+        rows = rows.hint("rebalance", *keys)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*keys).parquet(path)
+
+
+def write_by_category(rows: DataFrame, path: str) -> None:
+    write_partitioned(rows, path, "product_category")
 
 
 def write_plain(rows: DataFrame, path: str) -> None:
@@ -69,9 +64,18 @@ def write_bucketed(rows: DataFrame, table: str, path: str, key: str, buckets: in
 def stage(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder of the cluster and read it back.
 
-    Used where several jobs go over one expensive frame. The files outlive lost executors.
+    Used where several jobs go over one expensive frame. The files outlive lost executors; :func:`unstage` deletes them.
     """
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/staged/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def unstage(staged: DataFrame) -> None:
+    """Delete the files of a staged table that no job reads any more."""
+    jvm, configuration = staged.sparkSession._jvm, staged.sparkSession._jsc.hadoopConfiguration()
+    for file in staged.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if "/staged/" in folder.toString():
+            folder.getFileSystem(configuration).delete(folder, True)

@@ -30,7 +30,7 @@ def base(spark, tmp_path_factory):
     cli("label", f"{base}/curated", f"{base}/labeled", "--burst", "3")
     cli("split", f"{base}/labeled", f"{base}/train", f"{base}/test")
     cli("lookups", f"{base}/train", f"{base}/reviewers", f"{base}/products")
-    history = ["--reviewers", f"{base}/reviewers", "--products", f"{base}/products"]
+    history = ["--products", f"{base}/products"]
     cli("features", f"{base}/labeled", f"{base}/features")
     cli("features", f"{base}/train", f"{base}/train_features", *history)
     cli("features", f"{base}/test", f"{base}/test_features", *history)
@@ -50,10 +50,37 @@ def test_stages_agree(spark, base):
     assert os.path.isdir(f"{base}/curated/product_category=PROMO")
 
 
-def test_test_reviewers_are_unknown_to_the_history(spark, base):
-    features = spark.read.parquet(f"{base}/test_features")
-    assert features.where("rev_total_reviews <> 0").count() == 0
-    assert features.where("prod_total_reviews > 0").count() > 0
+def test_each_side_has_its_own_reviewers_and_the_products_of_training(spark, base):
+    features = spark.read.parquet(f"{base}/test_features").join(
+        spark.read.parquet(f"{base}/test").select("review_id", "customer_id", "product_id"), "review_id")
+    own = spark.read.parquet(f"{base}/test").groupBy("customer_id").count()
+    assert features.join(own, "customer_id").where("rev_total_reviews <> count").count() == 0
+    goods = spark.read.parquet(f"{base}/products")
+    assert features.join(goods, "product_id").where("prod_total_reviews <> ph_total_reviews").count() == 0
+    assert features.join(goods, "product_id", "left_anti").where("prod_total_reviews <> 0").count() == 0
+
+
+def test_tables_have_few_files_per_category(base):
+    for name in ("curated", "labeled", "train", "test"):
+        for part in os.listdir(f"{base}/{name}"):
+            if part.startswith("product_category="):
+                assert sum(f.endswith(".parquet") for f in os.listdir(f"{base}/{name}/{part}")) == 1
+
+
+def test_profile_and_monitor_write_whole_results(spark, base, tmp_path):
+    run(spark, parser().parse_args(["profile", f"{base}/curated", "--categories", *CATEGORIES, "--out", str(tmp_path)]))
+    days = spark.read.parquet(f"{base}/curated").select("review_date").distinct().count()
+    assert spark.read.parquet(f"{tmp_path}/daily_velocity").count() == days > 50
+
+
+def test_scoring_from_the_command_line(spark, base, tmp_path):
+    run(spark, parser().parse_args(["publish", f"{base}/test", "--path", f"{tmp_path}/in"]))
+    arguments = ["score", f"{base}/model", f"{tmp_path}/sink", "--reviewers", f"{base}/reviewers", "--products", f"{base}/products",
+                 "--path", f"{tmp_path}/in", "--checkpoints", f"{tmp_path}/c", "--interval", "once", "--threshold", "0.0"]
+    run(spark, parser().parse_args(arguments))
+    run(spark, parser().parse_args(arguments))
+    scored = spark.read.parquet(f"{tmp_path}/sink")
+    assert scored.count() == spark.read.parquet(f"{base}/test").count() == scored.where("prediction = 1.0").count()
 
 
 def test_report_holds_the_results(base):
@@ -70,8 +97,14 @@ def test_models_side_by_side(spark, base):
 
 def test_bucketed_lookups_keep_their_rows(spark, base, tmp_path):
     people, goods = str(tmp_path / "people_b"), str(tmp_path / "goods_b")
-    jobs.build_lookups(spark, f"{base}/train", people, goods, buckets=4)
+    jobs.build_lookups(spark, f"{base}/train", people, goods, buckets=4, tables=("people_b", "goods_b"))
     try:
+        rows = spark.read.parquet(f"{base}/train").select("customer_id", "star_rating")
+        plans = []
+        for lookup in (spark.table("people_b"), spark.read.parquet(people)):
+            joined = rows.hint("merge").join(lookup, "customer_id", "left")
+            plans.append(joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        assert plans == [1, 2]
         assert spark.table("people_b").count() == spark.read.parquet(f"{base}/reviewers").count()
         assert spark.table("goods_b").exceptAll(spark.read.parquet(f"{base}/products")).count() == 0
     finally:

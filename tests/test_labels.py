@@ -99,8 +99,21 @@ def test_threshold_is_a_parameter(spark):
     assert swept == {5: 6, 7: 0, 10: 0}
 
 
+def test_a_busy_hour_of_one_key_is_spread(spark):
+    """All moments of one key in one hour: no window holds more than the slices of an hour, or a second's moments."""
+    frame = spark.range(20_000).select(
+        F.col("id").alias("id"), F.lit("hot").alias("k"),
+        F.timestamp_micros(F.col("id") * 180_000 + F.lit(1_700_000_000_000_000 // 3_600_000_000 * 3_600_000_000)).alias("ts"))
+    counted = rolling_counts(frame, "k", "ts", "id", 60, (3_600, 1), name="n")
+    got = {r["id"]: r["n"] for r in counted.collect()}
+    assert all(got[i] == min(i, 333) + 1 for i in range(20_000))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    orders = [line for line in plan.splitlines() if "Window [" in line and "_at" in line.split("windowspec")[-1]]
+    assert orders and all("_slice0" in line and "_slice1" in line for line in orders)
+
+
 @pytest.mark.parametrize("skew", [SkewRule(), SkewRule(hot_rows=2, max_hot_keys=3, salts=4)])
-@pytest.mark.parametrize("slice_seconds", [3_600, 7, 86_400])
+@pytest.mark.parametrize("slice_seconds", [(3_600,), (7,), (3_600, 1), (86_400, 3_600, 60)])
 def test_rolling_counts_against_brute_force(spark, skew, slice_seconds):
     import random
 

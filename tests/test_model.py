@@ -50,6 +50,16 @@ def test_train_save_load_score(spark, features, tmp_path):
     assert M.importances(model, spark).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def test_forest_does_not_depend_on_the_layout(features):
+    settings = ForestSettings(trees=6, depth=4, partitions=5)
+    scores = []
+    for parts in (1, 8):
+        model = M.train(features.repartition(parts), settings)
+        rows = M.score(features.fillna(0), model).select("review_id", "fraud_probability").collect()
+        scores.append({r["review_id"]: r["fraud_probability"] for r in rows})
+    assert scores[0] == scores[1]
+
+
 def test_threshold_changes_the_verdict_only(features):
     model = M.train(features, SMALL)
     filled = features.fillna(0)

@@ -44,6 +44,14 @@ def test_pivots(spark):
         "Apparel": (0, 1), "Books": (1, 1)}
 
 
+def test_spikes_need_a_full_baseline_of_calendar_days(spark):
+    two = reviews(spark, [dict(review_date=day(d)) for d in (0, 100, 100)])
+    assert P.velocity_spikes(two).collect() == []
+    gap = reviews(spark, [dict(review_date=day(d)) for d in (0, 1, 9, 9)] + [dict(review_date=day(3))] * 5)
+    got = [(r["review_date"], round(r["baseline"], 6), round(r["ratio"], 6)) for r in P.velocity_spikes(gap).collect()]
+    assert got == [(day(9), round(5 / 7, 6), 2.8)]
+
+
 def test_spikes_compare_with_the_days_before(spark):
     frame = reviews(spark, [dict(review_date=day(d)) for d in [*range(7), 7, 7, 8]])
     got = P.velocity_spikes(frame).collect()

@@ -1,16 +1,29 @@
+import os
 from types import SimpleNamespace
 
+import pytest
+
 from review_signals.session import shared_dir
-from review_signals.sources.tables import spread, stage
+from review_signals.sources.tables import dealt, stage, unstage
 
 
 def test_shared_dir_is_the_one_of_the_cluster(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_shared_dir_falls_back_where_nothing_is_set():
-    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
-    assert shared_dir(bare) == shared_dir(bare) != ""
+def bare(master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.master": master}.get(key, default)))
+
+
+@pytest.mark.parametrize("master", ["local", "local[8]", "local[*]"])
+def test_a_local_session_may_do_without_the_setting(master):
+    assert shared_dir(bare(master)) == shared_dir(bare(master)) != ""
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://https://host", "local-cluster[3,2,3000]", ""])
+def test_a_cluster_may_not(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(bare(master))
 
 
 def test_staged_table_reads_back(spark):
@@ -20,7 +33,19 @@ def test_staged_table_reads_back(spark):
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
 
 
-def test_spread_adds_a_shuffle_only_to_few_tasks(spark):
-    few, many = spark.range(100).repartition(2), spark.range(100).repartition(16)
-    assert spread(few).rdd.getNumPartitions() == 8
-    assert spread(many) is many
+def test_unstage_deletes_the_files_and_nothing_else(spark, tmp_path):
+    staged = stage(spark.range(10), "numbers")
+    path = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    unstage(staged)
+    assert not os.path.exists(path)
+    spark.range(3).write.parquet(str(tmp_path / "kept"))
+    unstage(spark.read.parquet(str(tmp_path / "kept")))
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 3
+
+
+def test_layout_is_decided_by_content_alone(spark):
+    rows = spark.range(1_000).selectExpr("cast(id % 300 as string) as k", "id % 7 as v")
+    layouts = [
+        [tuple(r) for r in dealt(rows.repartition(n), "k", 5).selectExpr("spark_partition_id() p", "*").collect()] for n in (1, 6)
+    ]
+    assert layouts[0] == layouts[1] and len({p for p, *_ in layouts[0]}) == 5

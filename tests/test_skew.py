@@ -75,8 +75,27 @@ def test_salt_is_part_of_the_shuffle_key_and_figures_are_computed_once(spark, no
     assert "ReusedExchange" in plan
 
 
-def test_hot_list_is_bounded(spark):
+def test_hot_list_is_bounded_by_its_rule(spark):
+    """All keys have enough rows; only the one that holds its share of them is hot, and none is cut off."""
     frame = rows(spark)
-    got = attach(frame, stats(frame), ["k"], ["row_id"], size="n", rule=SkewRule(hot_rows=1, max_hot_keys=2, salts=4))
-    assert "limit=2" in got._jdf.queryExecution().executedPlan().toString()
+    got = attach(frame, stats(frame), ["k"], ["row_id"], size="n", rule=SkewRule(hot_rows=1, max_hot_keys=4, salts=4))
+    assert "Limit" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.where("n is null and k is not null").count() == 0
+
+
+def test_a_key_below_the_bound_is_left_to_adaptive_execution(spark, no_broadcast):
+    """A large key that is not hot by the rule takes the ordinary join, whose partitions Spark may split."""
+    frame, huge = rows(spark), SkewRule(hot_rows=2_001)
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        wide = frame.withColumn("pad", F.sha2(F.col("row_id").cast("string"), 256))
+        figures = spark.createDataFrame([(r["k"], r["n"]) for r in stats(frame).collect() if r["k"]], "k string, n long")
+        got = attach(wide, figures.hint("merge"), ["k"], ["row_id"], size="n", rule=huge)
+        assert got.where("n is not null").count() == frame.where("k is not null").count()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

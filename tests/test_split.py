@@ -44,7 +44,7 @@ def test_balance(spark):
 def test_restrict_to_keys_ignores_repeated_and_unknown_keys(spark):
     wanted = spark.createDataFrame([("1",), ("1",), ("2",), ("nobody",), (None,)], "customer_id string")
     rows = keys(spark).union(keys(spark))
-    got = S.restrict_to_keys(rows, wanted, "customer_id", "review_id")
+    got = S.restrict_to_keys(rows, wanted, "customer_id")
     assert as_dict(got.groupBy("customer_id").agg(F.count("*").alias("n")), "customer_id", "n") == {"1": 2, "2": 2}
 
 
@@ -56,6 +56,12 @@ def test_sample_is_repeatable_and_close_to_its_share(spark):
     assert S.key_sample(rows, "review_id", 1.0).count() == 20_000
 
 
+def test_small_shares_are_not_rounded(spark):
+    rows = keys(spark, 200_000)
+    assert 3 <= S.key_sample(rows, "review_id", 0.00005).count() <= 20
+    assert 15 <= S.key_sample(rows, "review_id", 0.00015).count() <= 50
+
+
 def test_row_sample_is_close_to_its_share(spark):
     assert 140 < S.row_sample(keys(spark, 20_000), 0.01).count() < 260
 
