@@ -148,8 +148,9 @@ def measure(docs: DataFrame, join: Join) -> DataFrame:
     return _keyed(docs).mapInArrow(task, "doc_id long, text_key long, n long, node long, region binary, bitmap binary")
 
 
-def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
-    """The whole sets of some classes, from the text of one document of each (``nodes``: node, doc_id, text_key).
+def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, column: str = "shingles") -> DataFrame:
+    """The whole sets of some classes, from the text of one document of each (``nodes``: node, doc_id, text_key), or only
+    their ``cells``.
 
     Only rows that repeat an id and its text come more than once."""
     wanted = bounded(nodes.select("node", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")), join.max_ids)
@@ -159,12 +160,14 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             values, bounds = shingle_sets(texts, join.words)
-            cells = pa.array([_cells(values[low:high]) for low, high in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+            if column == "cells":
+                held = pa.array([_cells(values[low:high]) for low, high in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+            else:
+                held = _pieces(values, bounds)
             sizes = pa.array(np.diff(bounds).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("node"), sizes, _pieces(values, bounds), cells], names=["node", "size", "shingles", "cells"])
+            yield pa.RecordBatch.from_arrays([part.column("node"), sizes, held], names=["node", "size", column])
 
-    return rows.select("node", "text").mapInArrow(task, "node long, size long, shingles binary, cells binary")
+    return rows.select("node", "text").mapInArrow(task, f"node long, size long, {column} binary")
 
 
 def _cells(values: np.ndarray) -> bytes:
@@ -244,9 +247,9 @@ def _region_rows(classes: DataFrame) -> DataFrame:
     return classes.select("region").mapInArrow(task, "shingle long")
 
 
-def hot_shingles(classes: DataFrame, join: Join) -> np.ndarray:
+def hot_shingles(shared: DataFrame, join: Join) -> np.ndarray:
     """Shingles in the regions of over ``hot`` classes, sorted: at most ``max_hot``, or the bound rises."""
-    counted = staged(_region_rows(classes).groupBy("shingle").count().filter(F.col("count") > join.hot), "hot-shingles")
+    counted = shared.filter(F.col("count") > join.hot)
     total = counted.agg(F.count(F.lit(1)), F.sum("count")).first()
     if total[0] > join.max_hot:  # no more than max_hot shingles can be in over total / max_hot classes each
         counted = counted.filter(F.col("count") > total[1] / join.max_hot)
@@ -263,8 +266,9 @@ def _is_hot(values: np.ndarray, hot: np.ndarray) -> np.ndarray:
 _LISTED = "shingle long, node long, rank long"
 
 
-def list_rows(classes: DataFrame, docs: DataFrame, hot: np.ndarray, join: Join) -> DataFrame:
-    """Per class a row for each shingle of its prefix. ``rank`` orders classes: those of the most common content first."""
+def list_rows(regions: DataFrame, classes: DataFrame, docs: DataFrame, hot: np.ndarray, join: Join) -> tuple[DataFrame, DataFrame]:
+    """Per class a row for each shingle of its prefix: of classes whose region suffices, and of those that are mostly hot.
+    ``rank`` orders classes: those of the most common content first."""
     shared = classes.sparkSession.sparkContext.broadcast(hot)
 
     def emit(parts: list[tuple]) -> pa.RecordBatch:
@@ -294,12 +298,12 @@ def list_rows(classes: DataFrame, docs: DataFrame, hot: np.ndarray, join: Join)
 
         return task
 
-    rows = staged(classes.select("node", "n", "region").mapInArrow(prefixes("region", whole=False), _LISTED), "prefixes")
+    rows = staged(regions.select("node", "n", "region").mapInArrow(prefixes("region", whole=False), _LISTED), "prefixes")
     marked = bounded(staged(rows.filter("rank < 0").select("node"), "mostly-hot"), join.max_ids)
     marked = staged(classes.select("node", "n", "doc_id", "text_key").join(marked, "node"), "mostly-hot-places")
     sets = whole_sets(docs, marked, join).withColumnRenamed("size", "n")
     more = staged(sets.select("node", "n", "shingles").mapInArrow(prefixes("shingles", whole=True), _LISTED), "mostly-hot-prefixes")
-    return rows.filter("rank >= 0").unionByName(more)
+    return rows.filter("rank >= 0"), more
 
 
 def _can_link(a: str, b: str, join: Join) -> Column:
@@ -316,10 +320,10 @@ def _longs(bitmap: str) -> list[Column]:
     return [F.conv(F.hex(F.substring(bitmap, 8 * i + 1, 8)), 16, -10).cast("long").alias(f"b{i}") for i in range(_BITMAP_LONGS)]
 
 
-def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs (a, b) that are similar, by their whole sets. Bitmaps that differ too much spare most others the sets."""
-    compact = pairs.join(sets.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("cells").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("cells").alias("y")), "b")
+def near_pairs(pairs: DataFrame, cells: DataFrame, join: Join) -> DataFrame:
+    """The pairs whose bitmaps do not differ too much: few but similar ones."""
+    compact = pairs.join(cells.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("cells").alias("x")), "a").join(
+        cells.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("cells").alias("y")), "b")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,7 +334,11 @@ def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    pairs = staged(compact.select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a long, b long").distinct(), "near-pairs")
+    return compact.select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a long, b long").distinct()
+
+
+def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that are similar, by their whole sets."""
     rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
 
@@ -347,18 +355,20 @@ def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return rows.select("a", "b", "x", "y").mapInArrow(task, "a long, b long")
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """Components over classes: ``node`` and ``root`` of each class that has a link."""
+def link_classes(docs: DataFrame, classes: DataFrame, regions: DataFrame, join: Join) -> DataFrame:
+    """Components over classes: ``node`` and ``root`` of each class that has a link. ``regions`` has node, n and region."""
     sizes = classes.filter(F.col("n") <= 2 * join.largest_small).groupBy("n").count().collect()  # a row per small size
     boundary = cost_boundary({row["n"]: row["count"] for row in sizes}, join)
     small = classes.filter(F.col("n") < boundary)
     small_sets = staged(whole_sets(docs, staged(small.select("node", "doc_id", "text_key"), "small"), join), "small-sets")
     links = subset_links(small_sets, boundary, join)
 
-    listed_classes = classes.filter(100 * F.col("n") >= join.percent * boundary)
-    rows = list_rows(listed_classes, docs, hot_shingles(listed_classes, join), join)
-    shared = staged(rows.groupBy("shingle").count().filter("count > 1").select("shingle"), "shared-shingles")
-    members = staged(rows.join(bounded(shared, join.max_ids), "shingle"), "list-members")
+    listed = regions.filter(100 * F.col("n") >= join.percent * boundary)
+    shared = staged(_region_rows(listed).groupBy("shingle").count().filter("count > 1"), "shared-shingles")
+    rows, more = list_rows(listed, classes, docs, hot_shingles(shared, join), join)
+    # a list of two has a shingle that is in two regions, or one of a mostly hot class
+    several = staged(shared.select("shingle").union(more.select("shingle")).distinct(), "list-shingles")
+    members = staged(rows.unionByName(more).join(bounded(several, join.max_ids), "shingle"), "list-members")
     order = F.shiftleft("rank", 52) + F.col("node").bitwiseAND(F.lit((1 << 52) - 1))
     centres = staged(members.groupBy("shingle").agg(F.min_by("node", order).alias("centre"), F.min("rank").alias("rank")), "list-centres")
     nodes = bounded(staged(members.select("node").distinct(), "list-nodes"), join.max_ids)
@@ -388,9 +398,13 @@ def link_classes(docs: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
-    nodes = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "pair-nodes")
-    places = staged(classes.select("node", "doc_id", "text_key").join(bounded(nodes, join.max_ids), "node"), "pair-places")
-    return verify(pairs, staged(whole_sets(docs, places, join), "pair-sets"), join)
+    def sets_of(pairs: DataFrame, column: str) -> DataFrame:
+        nodes = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "pair-nodes")
+        places = staged(classes.select("node", "doc_id", "text_key").join(bounded(nodes, join.max_ids), "node"), "pair-places")
+        return staged(whole_sets(docs, places, join, column), f"pair-{column}")
+
+    near = staged(near_pairs(pairs, sets_of(pairs, "cells"), join), "near-pairs")
+    return verify(near, sets_of(near, "shingles"), join)
 
 
 def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008 - frozen
@@ -402,9 +416,9 @@ def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # no
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")), "classes")
     chosen = chosen.select(F.col("node").alias("__node"), F.col("first.doc_id").alias("__doc"), F.col("first.text_key").alias("__key"))
     mine = (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
-    classes = measured.join(bounded(chosen, join.max_ids), mine, "left_semi").dropDuplicates(["node"])
-    classes = staged(classes, "class-measures")
-    roots = staged(link_classes(docs, classes, join), "components")
+    representatives = measured.join(bounded(chosen, join.max_ids), mine, "left_semi")
+    classes = staged(representatives.drop("region").dropDuplicates(["node"]), "class-measures")
+    roots = staged(link_classes(docs, classes, representatives.select("node", "n", "region"), join), "components")
 
     rows = measured.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = staged(rows.select("doc_id", "text_key", "n", "root"), "rooted")
