@@ -165,7 +165,7 @@ def repeated_windows(docs: DataFrame, repeats: Repeats) -> DataFrame:
     """``node``, ``first`` and ``last``: runs of windows that occur elsewhere, too; ``docs`` has node and text (binary)."""
     picked = staged(anchors(docs, repeats), "anchors")
     often = staged(picked.groupBy("anchor").count().filter("count > 1"), "repeated-anchors")
-    kept = picked.join(bounded(often, repeats.max_broadcast), "anchor")
+    kept = picked.join(often, "anchor")
     parts = F.ceil(F.col("count") / repeats.hot)
     kept = kept.select(
         "node", F.struct("anchor", "place", (F.col("count") > repeats.hot).alias("hot"),
