@@ -368,7 +368,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, regions: DataFrame, join:
     rows, more = list_rows(listed, classes, docs, hot_shingles(shared, join), join)
     # a list of two has a shingle that is in two regions, or one of a mostly hot class
     several = staged(shared.select("shingle").union(more.select("shingle")).distinct(), "list-shingles")
-    members = staged(rows.unionByName(more).join(bounded(several, join.max_ids), "shingle"), "list-members")
+    members = staged(rows.unionByName(more).join(several, "shingle"), "list-members")
     order = F.shiftleft("rank", 52) + F.col("node").bitwiseAND(F.lit((1 << 52) - 1))
     centres = staged(members.groupBy("shingle").agg(F.min_by("node", order).alias("centre"), F.min("rank").alias("rank")), "list-centres")
     nodes = bounded(staged(members.select("node").distinct(), "list-nodes"), join.max_ids)
