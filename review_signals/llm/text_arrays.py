@@ -6,6 +6,7 @@ document is a chunk of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -127,6 +128,14 @@ class Texts:
             yield raw[low:high]
 
 
+def _hand_back() -> None:
+    """Give freed memory back to the system: a Python worker outlives its tasks and should not hoard it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def as_texts(column: pa.Array) -> Texts:
     """A string or binary column; null counts as empty."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
@@ -148,7 +157,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             part = batch.slice(low, high - low)
             yield part, as_texts(part.column(column))
         del batch
-        pa.default_memory_pool().release_unused()  # a Python worker outlives its tasks and should not hoard memory
+        _hand_back()
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:

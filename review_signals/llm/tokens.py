@@ -19,7 +19,7 @@ from review_signals.llm.text_arrays import Texts
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: The end-of-document id that the vocabulary itself provides.
 END_OF_TEXT = 49407
 
