@@ -301,7 +301,8 @@ def list_rows(regions: DataFrame, classes: DataFrame, docs: DataFrame, hot: np.n
     rows = staged(regions.select("node", "n", "region").mapInArrow(prefixes("region", whole=False), _LISTED), "prefixes")
     marked = bounded(staged(rows.filter("rank < 0").select("node"), "mostly-hot"), join.max_ids)
     marked = staged(classes.select("node", "n", "doc_id", "text_key").join(marked, "node"), "mostly-hot-places")
-    sets = whole_sets(docs, marked, join).withColumnRenamed("size", "n")
+    # written first: two Python steps in one stage would double the Python workers of an executor
+    sets = staged(whole_sets(docs, marked, join), "mostly-hot-sets").withColumnRenamed("size", "n")
     more = staged(sets.select("node", "n", "shingles").mapInArrow(prefixes("shingles", whole=True), _LISTED), "mostly-hot-prefixes")
     return rows.filter("rank >= 0"), more
 
