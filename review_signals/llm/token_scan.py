@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from review_signals.llm.shared import staged
 from review_signals.llm.text_arrays import chunks
-from review_signals.llm.tokens import END_OF_TEXT, encoder
+from review_signals.llm.tokens import END_OF_TEXT, TOKENISED_BYTES, encoder
 
 BLOCK_TOKENS = 1 << 16
 SEGMENT = 1024
@@ -139,7 +139,7 @@ def write_flat(docs: DataFrame, tokenizer_path: str, block_tokens: int = BLOCK_T
                 pa.concat_arrays([pa.nulls(n, pa.int64()), ids]),
             ], names=["file_id", "block", "ids", "doc_number", "doc_id"])
 
-        for part, texts in chunks(batches, "text"):
+        for part, texts in chunks(batches, "text", TOKENISED_BYTES):
             for ids in words.encode(texts):
                 pending.append(np.concatenate([ids, end]).astype(TOKEN_TYPE))
             held = cut(everything=False)

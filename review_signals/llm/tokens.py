@@ -19,7 +19,9 @@ from review_signals.llm.text_arrays import Texts
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
+#: Text of a task at a time: the more, the fewer look-ups of repeated words.
+TOKENISED_BYTES = 1 << 20
 #: The end-of-document id that the vocabulary itself provides.
 END_OF_TEXT = 49407
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from review_signals.llm.text_arrays import chunks
-from review_signals.llm.tokens import encoder
+from review_signals.llm.tokens import TOKENISED_BYTES, encoder
 
 COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 SCHEMA = ", ".join(f"{name} long" for name in COLUMNS)
@@ -164,7 +164,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits()) -> Dat
             return batch
 
         packer, words, end = Packer(limits, emit), encoder(tokenizer_path), np.array([limits.end_id], np.uint32)
-        for part, texts in chunks(batches, "text"):
+        for part, texts in chunks(batches, "text", TOKENISED_BYTES):
             for doc_id, ids in zip(part.column("doc_id").to_pylist(), words.encode(texts), strict=True):
                 packer.add(doc_id, np.concatenate([ids, end]).astype("<u4"))
             if len(rows) >= _ROWS_OUT:
