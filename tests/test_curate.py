@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from review_signals.operators.curate import curate, text_columns
 from review_signals.functions.scalars import date_from_epoch_days
-from review_signals.sources.tables import MissingInput, read_table, write_bucketed, write_by_category
+from review_signals.sources.tables import MissingInput, read_table, write_bucketed, write_by_category, write_partitioned
 
 RAW = """marketplace binary, customer_id bigint, review_id binary, product_id binary, product_title binary,
     product_category binary, star_rating string, helpful_votes string, total_votes bigint,
@@ -58,7 +58,7 @@ def test_partitioned_write_and_pruned_read(spark, tmp_path):
     rows = text_columns(raw(spark, [dict(rid=b"a"), dict(rid=b"b", category=b"Toys")]))
     for rebalance in (False, True):
         path = str(tmp_path / f"t{rebalance}")
-        write_by_category(rows, path, rebalance=rebalance)
+        write_partitioned(rows, path, "product_category", rebalance=rebalance)
         back = read_table(spark, path).where("product_category = 'Toys'")
         plan = back._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(product_category" in plan
