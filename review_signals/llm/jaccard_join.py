@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from review_signals.llm.components import components
 from review_signals.llm.shared import bounded, staged
-from review_signals.llm.text_arrays import Texts, chunks, mix, roll
+from review_signals.llm.text_arrays import Texts, chunks, mix, roll, tidy
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -244,7 +244,7 @@ def _region_rows(classes: DataFrame) -> DataFrame:
                 held = b"".join(batch.column("region").slice(low, 2000).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(held, "<i8"))], names=["shingle"])
 
-    return classes.select("region").mapInArrow(task, "shingle long")
+    return classes.select("region").mapInArrow(tidy(task), "shingle long")
 
 
 def hot_shingles(shared: DataFrame, join: Join) -> np.ndarray:
@@ -298,12 +298,12 @@ def list_rows(regions: DataFrame, classes: DataFrame, docs: DataFrame, hot: np.n
 
         return task
 
-    rows = staged(regions.select("node", "n", "region").mapInArrow(prefixes("region", whole=False), _LISTED), "prefixes")
+    rows = staged(regions.select("node", "n", "region").mapInArrow(tidy(prefixes("region", whole=False)), _LISTED), "prefixes")
     marked = bounded(staged(rows.filter("rank < 0").select("node"), "mostly-hot"), join.max_ids)
     marked = staged(classes.select("node", "n", "doc_id", "text_key").join(marked, "node"), "mostly-hot-places")
     # written first: two Python steps in one stage would double the Python workers of an executor
     sets = staged(whole_sets(docs, marked, join), "mostly-hot-sets").withColumnRenamed("size", "n")
-    more = staged(sets.select("node", "n", "shingles").mapInArrow(prefixes("shingles", whole=True), _LISTED), "mostly-hot-prefixes")
+    more = staged(sets.select("node", "n", "shingles").mapInArrow(tidy(prefixes("shingles", whole=True)), _LISTED), "mostly-hot-prefixes")
     return rows.filter("rank >= 0"), more
 
 
@@ -335,7 +335,7 @@ def near_pairs(pairs: DataFrame, cells: DataFrame, join: Join) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return compact.select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a long, b long").distinct()
+    return compact.select("a", "b", "n", "m", "x", "y").mapInArrow(tidy(near), "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -353,7 +353,7 @@ def verify(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
                 kept.append(100 * shared >= join.percent * (len(first) + len(second) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return rows.select("a", "b", "x", "y").mapInArrow(task, "a long, b long")
+    return rows.select("a", "b", "x", "y").mapInArrow(tidy(task), "a long, b long")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, regions: DataFrame, join: Join) -> DataFrame:

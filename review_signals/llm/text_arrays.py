@@ -7,7 +7,7 @@ document is a chunk of its own.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -128,6 +128,16 @@ class Texts:
             yield raw[low:high]
 
 
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):  # noqa: ANN201 - the same kind
+    """A task that hands memory back when it is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        _hand_back()
+
+    return run
+
+
 def _hand_back() -> None:
     """Give freed memory back to the system: a Python worker outlives its tasks and should not hoard it."""
     pa.default_memory_pool().release_unused()

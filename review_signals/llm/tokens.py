@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 REMEMBERED = 300_000
 #: Text of a task at a time: the more, the fewer look-ups of repeated words.
-TOKENISED_BYTES = 1 << 20
+TOKENISED_BYTES = 1 << 19
 #: The end-of-document id that the vocabulary itself provides.
 END_OF_TEXT = 49407
 
