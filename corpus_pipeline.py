@@ -16,6 +16,9 @@ from review_signals.llm.tokens import vocabulary
 #: Rejected rows are looked up by broadcast up to this many, else by a shuffled join.
 MAX_BROADCAST_IDS = 1_000_000
 
+#: Near copies share at least 0.8 of their shingles of five words; other settings than those of op10's query.
+NEAR_COPIES = jaccard_join.Join(percent=80, words=5)
+
 #: The packing has no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
@@ -40,7 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest doc_id stays."""
-    found = staged(jaccard_join.similar_components(docs), "similar")
+    found = staged(jaccard_join.similar_components(docs, NEAR_COPIES), "similar")
     once = _without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "similar-to-others")
     # rows that repeat an id and its text: only these few are shuffled
     repeats = staged(found.groupBy("doc_id", "text_key").count().filter("count > 1"), "repeated-rows")

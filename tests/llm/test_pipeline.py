@@ -76,6 +76,39 @@ def test_repeated_rows_and_nulls(spark):
     assert sorted((r.doc_id or 0, len(r.text)) for r in docs.collect()) == sorted([(1, len(text)), (3, len(rows[3][1])), (0, len(rows[4][1]))])
 
 
+def near_copies(texts, words=5, percent=80):
+    """The smallest id of each document's component, by comparing all pairs that share a shingle."""
+    word, lower = re.compile(r"[^\x20\x09-\x0D]+"), str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, holders, root = {}, {}, {i: i for i in texts}
+    for i, text in texts.items():
+        found = word.findall((text or "").translate(lower))
+        sets[i] = {tuple(found[k:k + words]) for k in range(max(1, len(found) - words + 1))} if found else set()
+        for shingle in sets[i]:
+            holders.setdefault(shingle, []).append(i)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in {(a, b) for held in holders.values() for k, a in enumerate(held) for b in held[k + 1:]}:
+        both = len(sets[a] & sets[b])
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    return {i: find(i) for i in texts}
+
+
+def test_near_copies_are_those_of_five_words_and_0_8(spark, docs):
+    words = [f"w{i}" for i in range(120)]
+    frame = docs([(1, " ".join(words[:100])), (2, " ".join(words)), (3, " ".join(words[:80] + [f"x{i}" for i in range(30)]))])
+    assert set(as_dict(STAGES["jaccard_dedup"](spark, frame, SF_DIR))) == {1, 3}  # 96 / 116 = 0.828
+    frame = spark.read.parquet(f"{SF_DIR[:-5]}0.01/documents.parquet").coalesce(4)
+    texts = as_dict(frame)
+    roots = near_copies(texts)
+    assert as_dict(STAGES["jaccard_dedup"](spark, frame, SF_DIR)) == {i: t for i, t in texts.items() if roots[i] == i}
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
