@@ -31,7 +31,7 @@ def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or a risk-controlled cutoff rejects go."""
-    judged = risk_thresholds.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = risk_thresholds.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), risk=risk_thresholds.Risk(small_strata=True))
     return _without(docs, judged.filter(~F.col("kept")), "low-quality")
 
 

@@ -8,6 +8,16 @@ they need no correction among themselves; Bonferroni corrects for all rules and
 no rule loses more than ``risk`` of the good documents of any stratum. Without enough labelled documents no cutoff is
 valid and a rule rejects nothing.
 
+``small_strata`` wastes less of the error and changes nothing for strata that have enough documents for the above. The
+number of a stratum's good documents, which says nothing about losses, decides how it is tested with its share of the
+error: enough for the test of each rule at a part of the share, as above; or enough for one test at the whole share:
+then the cutoffs of all rules are one sequence, rule after rule, up to the first failure; or too few even for that:
+then such strata are tested together, with their shares added up, and with the smallest other stratum if they need it.
+What holds for those is that no rule loses more than ``risk`` of the good documents of the strata tested together, in
+the labels' proportions (the tail for unlike strata is at most the binomial one where a test can pass); of these
+cutoffs a stratum takes the last that loses at most ``risk`` of its own labelled documents. A stratum without any
+labelled good document never gets a cutoff.
+
 Defined cases: a null text has no words. A null stratum is a stratum of its own. A null doc_id has no label. Repeated
 rows are measured once each; of several labels of a document the worst counts once. Empty tables give empty results;
 without labels only the base rule works. Columns other than id, text and stratum are not read.
@@ -16,7 +26,7 @@ without labels only the base rule works. Columns other than id, text and stratum
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,6 +71,7 @@ class Risk:
     risk: float = 0.01
     error: float = 0.05
     max_broadcast_strata: int = 100_000
+    small_strata: bool = False
 
 
 def count_signals(texts: Texts) -> dict[str, np.ndarray]:
@@ -133,6 +144,46 @@ def _breaks(rule: Rule, cutoff: Column) -> Column:
     return F.coalesce(signal < cutoff if rule.below else signal > cutoff, F.lit(False))
 
 
+def labels_needed(level: float, risk: float) -> int:
+    """Good documents with which a cutoff that loses none of them passes a test at ``level``."""
+    return math.ceil(math.log(level) / math.log1p(-risk))
+
+
+def _valid(lost: Mapping[str, int], rules: tuple[Rule, ...], risk: float, level: float, together: bool = False) -> dict[str, int]:
+    """How many cutoffs of each rule are valid: each rule a sequence at ``level``, or all of them ``together`` one."""
+    valid = dict.fromkeys((rule.name for rule in rules), 0)
+    for rule in rules:
+        for place in range(len(rule.cutoffs)):
+            if binomial_tail(lost[f"{rule.name}_{place}"], lost["n"], risk) > level:
+                if together:
+                    return valid
+                break
+            valid[rule.name] = place + 1
+    return valid
+
+
+def _valid_by_size(lost: Mapping[str, int], rules: tuple[Rule, ...], risk: float, level: float) -> dict[str, int]:
+    each = level / len(rules)
+    if lost["n"] >= labels_needed(each, risk):
+        return _valid(lost, rules, risk, each)
+    return _valid(lost, rules, risk, level, together=True)
+
+
+def _valid_together(counted: DataFrame, rules: tuple[Rule, ...], risk: Risk, share: float) -> dict[str, int]:
+    """Valid cutoffs over all strata that are too small for a test at their ``share`` of the error."""
+    need = labels_needed(share, risk.risk)
+    names = [name for name in counted.columns if name != "stratum"]
+    found = counted.filter(F.col("n") < need).agg(F.count(F.lit(1)).alias("strata"), *(F.sum(name).alias(name) for name in names)).first()
+    if not found["strata"]:
+        return dict.fromkeys((rule.name for rule in rules), 0)
+    level = share * found["strata"]
+    lost = {name: found[name] for name in names}
+    if lost["n"] < labels_needed(level, risk.risk):
+        for more in counted.filter(F.col("n") >= need).orderBy("n", "stratum").limit(1).collect():
+            lost = {name: lost[name] + more[name] for name in names}
+    return _valid_by_size(lost, rules, risk.risk, level)
+
+
 def select_cutoffs(good: DataFrame, stratum: str, rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()) -> DataFrame:  # noqa: B008
     """One row per stratum with, per rule, its valid cutoff or null; ``good`` are the measured good documents.
 
@@ -143,21 +194,26 @@ def select_cutoffs(good: DataFrame, stratum: str, rules: tuple[Rule, ...] = RULE
         for rule in rules for place, cutoff in enumerate(rule.cutoffs)
     ]
     counted = staged(good.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *lost), "risk-counts")
-    tests = max(1, counted.count()) * len(rules)
-    level = risk.error / tests
+    share = risk.error / max(1, counted.count())
+    together = _valid_together(counted, rules, risk, share) if risk.small_strata else {}
+
+    def valid(row: Mapping[str, int]) -> dict[str, int]:
+        if not risk.small_strata:
+            return _valid(row, rules, risk.risk, share / len(rules))
+        if row["n"] >= labels_needed(share, risk.risk):
+            return _valid_by_size(row, rules, risk.risk, share)
+        return {
+            rule.name: max((place + 1 for place in range(together[rule.name])
+                            if row[f"{rule.name}_{place}"] <= risk.risk * row["n"]), default=0)
+            for rule in rules
+        }
 
     def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            found = [valid(row) for row in frame.to_dict("records")]
             result = {"stratum": frame["stratum"]}
             for rule in rules:
-                chosen: list[float | None] = []
-                for row in frame.to_dict("records"):
-                    taken = None
-                    for place, cutoff in enumerate(rule.cutoffs):
-                        if binomial_tail(row[f"{rule.name}_{place}"], row["n"], risk.risk) > level:
-                            break
-                        taken = float(cutoff)
-                    chosen.append(taken)
+                chosen = [float(rule.cutoffs[held[rule.name] - 1]) if held[rule.name] else None for held in found]
                 result[rule.name] = pd.Series(chosen, dtype="float64")
             yield pd.DataFrame(result)
 

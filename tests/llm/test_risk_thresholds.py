@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from review_signals.llm.risk_thresholds import RULES, Risk, binomial_tail, judge, measure, select_cutoffs
+from review_signals.llm.risk_thresholds import RULES, Risk, Rule, _valid_by_size, binomial_tail, judge, labels_needed, measure, select_cutoffs
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -43,6 +43,49 @@ def test_junk_goes_and_clean_documents_stay(spark, docs):
     assert all(not judged[5000 + i].kept and judged[5000 + i].broken_rule for i in range(40))
 
 
+COUNTED = "lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long, n_lines long, n_closed long"
+
+
+def measured_rows(spark, **strata):
+    """So many good documents per stratum, words of so many letters, and so many documents full of symbols."""
+    rows = []
+    for name, (n, letters, symbols) in strata.items():
+        rows += [(name, 100, 100 * letters, 60 * letters if i < symbols else 0, 0, 0, 2, 10, 10) for i in range(n)]
+    return spark.createDataFrame(rows, COUNTED)
+
+
+def test_small_strata_get_cutoffs(spark):
+    good = measured_rows(spark, en=(2000, 5, 0), de=(493, 5, 0), fr=(498, 5, 2), es=(312, 5, 0))
+    plain = {r.lang: r for r in select_cutoffs(good.withColumnRenamed("lang", "s"), "s").withColumnRenamed("stratum", "lang").collect()}
+    assert plain["en"]["symbols"] == 0.01 and all(plain[lang]["symbols"] is None for lang in ("de", "fr", "es"))
+    chosen = {r.stratum: r for r in select_cutoffs(good, "lang", RULES, Risk(small_strata=True)).collect()}
+    assert all(chosen["en"][rule.name] == plain["en"][rule.name] for rule in RULES)
+    assert all(chosen[lang]["symbols"] == 0.01 and chosen[lang]["short_words"] == 3.5 for lang in ("en", "de", "es"))
+    assert all(chosen["fr"][rule.name] is None for rule in RULES)  # loses two under the first cutoff
+
+
+def test_strata_tested_together(spark):
+    good = measured_rows(spark, de=(210, 5, 0), fr=(210, 5, 0), es=(40, 5, 1), zh=(2, 11, 0))
+    chosen = {r.stratum: r for r in select_cutoffs(good, "lang", RULES, Risk(risk=0.02, small_strata=True)).collect()}
+    assert chosen["de"]["symbols"] == chosen["fr"]["symbols"] == chosen["zh"]["symbols"] == 0.01
+    assert chosen["es"]["symbols"] is None and chosen["es"]["long_words"] == 10  # 1 of its 40 has too many symbols
+    assert chosen["zh"]["long_words"] == 12  # 10 is valid for all of them together, but would lose all of its own
+    few = {r.stratum: r for r in select_cutoffs(measured_rows(spark, de=(100, 5, 0), fr=(100, 5, 0)), "lang", RULES, Risk(small_strata=True)).collect()}
+    assert all(row[rule.name] is None for row in few.values() for rule in RULES)
+
+
+def test_labels_a_test_needs_and_its_error():
+    assert labels_needed(0.05 / 28, 0.01) == 630 and labels_needed(0.05 / 4, 0.01) == 437 and labels_needed(0.05, 0.01) == 299
+    rules = tuple(Rule(f"r{i}", "a", "b", (2.0, 1.0)) for i in range(7))
+    generator = random.Random(4)
+    for n in (450, 700):  # every rule loses 1.1 %: nearly always, no cutoff may be valid
+        wrong = 0
+        for _ in range(400):
+            lost = {f"{rule.name}_{place}": sum(generator.random() < 0.011 for _ in range(n)) for rule in rules for place in range(2)}
+            wrong += any(_valid_by_size({**lost, "n": n}, rules, 0.01, 0.05).values())
+        assert wrong <= 0.08 * 400
+
+
 def test_odd_texts(spark, docs):
     long = " ".join(f"w{i}" for i in range(50_000))
     rows = [(1, None), (2, ""), (3, "a b c d e f g h i j"), (4, "x y z x y z x y z x y z"), (5, "é# é\né# é\n\n \nq"), (6, long), (6, long)]
