@@ -42,9 +42,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest doc_id stays."""
-    found = staged(jaccard_join.similar_components(docs, NEAR_COPIES), "similar")
-    once = _without(docs, found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "similar-to-others")
+    """Of each group of similar documents the one with the smallest doc_id stays, whether ids repeat or are null."""
+    found = jaccard_join.rooted_rows(docs, NEAR_COPIES)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    groups = found.filter("n > 0").groupBy("root").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    groups = staged(groups.filter("first <> last").select("root", "first"), "similar-groups")
+    others = found.filter("n > 0").join(groups, "root").filter(
+        ~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("text_key") != F.col("first.text_key")))
+    once = _without(docs, others, "similar-to-others")
     # rows that repeat an id and its text: only these few are shuffled
     repeats = staged(found.groupBy("doc_id", "text_key").count().filter("count > 1"), "repeated-rows")
     if repeats.isEmpty():

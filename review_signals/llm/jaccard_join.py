@@ -408,9 +408,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join)
     return verify(near, sets_of(near, "shingles"), join)
 
 
-def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008 - frozen
-    """Per row its doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id that links reach; ``text_key`` tells
-    rows of one doc_id apart."""
+def rooted_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008 - frozen
+    """Per row its doc_id, ``text_key``, shingles ``n`` and ``root``, which is the same for rows that links reach and does
+    not depend on ids; without shingles (``n`` 0) it means nothing."""
     measured = staged(measure(docs, join), "shingle-measures")
     # one row per class: a document that stands for it
     chosen = staged(measured.filter("n > 0").groupBy("node").agg(
@@ -422,7 +422,13 @@ def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # no
     roots = staged(link_classes(docs, classes, representatives.select("node", "n", "region"), join), "components")
 
     rows = measured.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = staged(rows.select("doc_id", "text_key", "n", "root"), "rooted")
+    return staged(rows.select("doc_id", "text_key", "n", "root"), "rooted")
+
+
+def similar_components(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B008 - frozen
+    """Per row its doc_id, ``n_shingles`` and ``component_id``, the smallest doc_id that links reach; ``text_key`` tells
+    rows of one doc_id apart."""
+    rows = rooted_rows(docs, join)
     least = staged(rows.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "component-ids")
     joined = rows.join(least, "root", "left")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))

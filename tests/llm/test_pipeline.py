@@ -109,6 +109,21 @@ def test_near_copies_are_those_of_five_words_and_0_8(spark, docs):
     assert as_dict(STAGES["jaccard_dedup"](spark, frame, SF_DIR)) == {i: t for i, t in texts.items() if roots[i] == i}
 
 
+def test_one_of_each_group_stays_with_repeated_and_null_ids(spark):
+    def near(name):
+        words = [f"{name}{i}" for i in range(120)]
+        return [" ".join(words[:n]) for n in (100, 105, 110)]
+
+    a, b, c, d = map(near, "abcd")
+    rows = [(1, a[0]), (1, a[1]), (1, a[1]), (None, b[0]), (None, b[1]), (None, b[2]), (None, c[0]), (7, c[1]), (7, c[2]), (8, d[0]), (7, d[1])]
+    rows += [(None, None), (None, ""), (9, "")]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in STAGES["jaccard_dedup"](spark, frame, SF_DIR).collect()]
+    groups = [(i, t[0]) for i, t in kept if t]
+    assert sorted(groups, key=str) == [(1, "a"), (7, "c"), (7, "d"), (None, "b")]
+    assert {(i, t) for i, t in kept if not t} == {(None, None), (None, ""), (9, "")}
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
