@@ -146,9 +146,49 @@ from documents d left join (select doc_id, max(n) as n_lines from lines group by
 left join spans s using (doc_id) left join kept k using (doc_id)"""
 
 
+def _spelling_variants() -> str:
+    """Near words by deleted letters; crc32 byte by byte, with its table made of the polynomial."""
+    return r"""
+with recursive crc_table as (
+  select list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+runs as (
+  select coalesce(doc_id::varchar, '') || ':' as prefix, run, count(*) as times
+  from (select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\x{C0}-\x{FF}]+')) as run from documents)
+  where length(run) >= 7 group by all),
+hashed as (
+  select run, times, xor(list_reduce(list_transform(range(1, octet_length(encode(prefix || run)) + 1),
+      lambda k: ('0x' || substr(hex(encode(prefix || run)), 2 * k::int - 1, 2))::bigint),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) as h
+  from runs, crc_table),
+words as (
+  select word, sum(times)::bigint as n
+  from (select times, case when h % 31 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word from hashed)
+  where length(word) >= 7 group by word having sum(times) >= 2),
+less as (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+         from (select word, n, unnest(range(1, length(word) + 1))::int as i from words)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union
+  select a.word, w.word, w.n from less a join words w on w.word = a.rest
+  union
+  select w.word, a.word, a.n from less a join words w on w.word = a.rest),
+ranked as (select *, count(*) over (partition by word) as n_near, row_number() over (partition by word order by near_n desc, near) as k from pairs),
+forms as (
+  select w.word, w.n, coalesce(r.n_near, 0) as n_near, case when r.near_n >= 10 * w.n then r.near end as form,
+         case when r.near_n >= 10 * w.n then r.near_n end as form_n
+  from words w left join (select * from ranked where k = 1) r using (word)),
+follow as (
+  select word, word as at, form from forms
+  union all
+  select o.word, f.word, f.form from follow o join forms f on f.word = o.form)
+select f.word, f.form, o.at as root, f.n, f.n_near, f.form_n from forms f join follow o using (word) where o.form is null"""
+
+
 ORACLE = {
     "op1_preference_format": _preference_format(),
     "op2_risk_thresholds": _risk_thresholds(),
     "op3_spaced_seeds": _spaced_seeds(),
     "op7_line_windows": _line_windows(),
+    "op12_spelling_variants": _spelling_variants(),
 }

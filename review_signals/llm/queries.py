@@ -12,12 +12,15 @@ from review_signals.llm import (
     hyperdim,
     jaccard_join,
     line_windows,
+    merge_encoding,
     preference_format,
     risk_thresholds,
     spaced_seeds,
+    spelling_variants,
     suffix_dedup,
     token_scan,
     vector_packing,
+    whitening,
 )
 from review_signals.llm.oracle import ORACLE
 from review_signals.llm.tokens import vocabulary
@@ -97,3 +100,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_backtracking_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merge_encoding.digest(merge_encoding.encode_decode(docs, vocabulary("piece_bpe_32k.model")))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.digest(rows, whitening.learn(rows))
