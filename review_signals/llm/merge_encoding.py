@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from review_signals.llm.text_arrays import chunks, tidy
 
 SPACE = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: Characters of a word whose pieces are listed at a time, and of a text that is cut into words at a time.
 BLOCK = 4096
 TEXT_BLOCK = 1 << 17
@@ -119,10 +119,11 @@ class Encoder:
         for k, name in enumerate(self.names):
             self.automaton.add_word(name[::-1], k)
         self.automaton.make_automaton()
+        self.between = next(chr(code) for code in range(len(alphabet) + 1) if chr(code) not in alphabet)
         pairs = {piece[k:k + 2] for piece in self.ids for k in range(len(piece) - 1)}
         # spaces stand for their sign in texts
         pairs = {pair.replace(SPACE, " ") for pair in pairs}
-        self._joined = np.zeros((129, 129), bool)
+        self._joined = np.zeros((256, 256), bool)
         wide = []
         for first, second in (map(ord, pair) for pair in pairs):
             if first < 128 and second < 128:
@@ -133,22 +134,24 @@ class Encoder:
         self._forget()
         self._fits: dict[int, bool] = {}
         self._surface = [self._shown(i) for i in range(len(model.pieces))]
+        self._is_part = np.array([isinstance(shown, int) for shown in self._surface])
 
     def _forget(self) -> None:
         self._place: dict[str, int] = {}
-        self._starts, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._known = np.zeros(0, np.int32)
+        #: Where the ids of each word begin and end, and the ids; all with room for more.
+        self._bounds, self._known = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32)
 
     # words
 
     def cuts(self, text: str) -> np.ndarray:
         """Positions between two characters that no merge joins."""
-        signs = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-        first, second = signs[:-1], signs[1:]
-        joined = self._joined[np.minimum(first, 128), np.minimum(second, 128)]
-        other = np.flatnonzero((first > 127) | (second > 127))
+        signs = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+        narrow = np.minimum(signs, 128).astype(np.uint16)
+        joined = self._joined.ravel()[narrow[:-1] << 8 | narrow[1:]]
+        wide = narrow == 128
+        other = np.flatnonzero(wide[:-1] | wide[1:])
         if len(other) and len(self._wide):
-            asked = first[other] << 21 | second[other]
+            asked = signs[other].astype(np.int64) << 21 | signs[other + 1]
             found = np.minimum(np.searchsorted(self._wide, asked), len(self._wide) - 1)
             joined[other] = self._wide[found] == asked
         return np.flatnonzero(~joined) + 1
@@ -196,16 +199,20 @@ class Encoder:
             known = self._fits[key] = self.merged(first + second) == [first, second]
         return known
 
-    def matches(self, word: str, low: int) -> tuple[int, dict[int, int]]:
-        """The longest piece from each position of a block on; the position is the first number less the key."""
-        reach = word[low:low + BLOCK + self.longest - 1]
+    def matches(self, text: str) -> dict[int, int]:
+        """The longest piece from each position on; keys count positions from the end of the text."""
         # of the pieces that end at one place the automaton gives the longest first; the last one given stays
-        return low + len(reach) - 1, dict(list(self.automaton.iter(reach[::-1]))[::-1])
+        return dict(list(self.automaton.iter(text[::-1]))[::-1])
 
-    def pieces(self, word: str) -> list[int]:
-        """The pieces of a word whose characters all occur in pieces, as numbers of names."""
-        size, sizes, shorter = len(word), self.sizes, self.shorter
-        last, found = self.matches(word, 0)
+    def block(self, word: str, number: int) -> tuple[int, dict[int, int]]:
+        """The matches of a block of a word, and the last position that they reach."""
+        reach = word[number * BLOCK:(number + 1) * BLOCK + self.longest - 1]
+        return number * BLOCK + len(reach) - 1, self.matches(reach)
+
+    def pieces(self, word: str, last: int, found: dict[int, int]) -> list[int]:
+        """The pieces of a word whose characters all occur in pieces, as numbers of names; the longest piece at a
+        position is ``found`` at ``last`` less the position, in the first block."""
+        size, sizes, shorter, known, count = len(word), self.sizes, self.shorter, self._fits, len(self.names)
         if sizes[found[last]] == size and self.merged(word) == [word]:
             return [found[last]]
         blocks = {0: (last, found)}
@@ -215,8 +222,12 @@ class Encoder:
             left = taken[-1] if taken else -1
             while piece >= 0:
                 end = at + sizes[piece]
-                if not failed[end >> 3] >> (end & 7) & 1 and (left < 0 or self.fits(left, piece)):
-                    break
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if left < 0:
+                        break
+                    fits = known.get(left * count + piece)
+                    if fits or (fits is None and self.fits(left, piece)):
+                        break
                 piece = shorter[piece]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
@@ -227,37 +238,46 @@ class Encoder:
             at = end
             if at == size:
                 return taken
-            number = at // BLOCK
-            if number not in blocks:
-                if len(blocks) > 2:
-                    blocks.clear()
-                blocks[number] = self.matches(word, number * BLOCK)
-            last, found = blocks[number]
+            if size > BLOCK:
+                number = at // BLOCK
+                if number not in blocks:
+                    if len(blocks) > 2:
+                        blocks.clear()
+                    blocks[number] = self.block(word, number)
+                last, found = blocks[number]
             piece = found[last - at]
 
     def _piece_ids(self, name: str) -> list[int]:
         number = self.ids.get(name)
         return [number] if number is not None else [self.bytes[byte] for byte in name.encode("utf-8", "replace")]
 
-    def word_ids(self, word: str) -> list[int]:
-        word = word.replace(" ", SPACE)
-        if len(word) == 1:
-            return self._piece_ids(word)
-        ids, out = self.name_ids, []
-        for piece in self.pieces(word):
-            out += ids[piece]
+    def words_ids(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word. Short words are matched by one scan for all."""
+        words = [word.replace(" ", SPACE) for word in words]
+        short = [word for word in words if len(word) <= BLOCK]
+        found = self.matches(self.between.join(short))
+        last, ids, out = sum(map(len, short)) + len(short) - 2, self.name_ids, []
+        for word in words:
+            if len(word) == 1:
+                out.append(self._piece_ids(word))
+            else:
+                pieces = self.pieces(word, last, found) if len(word) <= BLOCK else self.pieces(word, *self.block(word, 0))
+                out.append(list(chain.from_iterable([ids[piece] for piece in pieces])))
+            if len(word) <= BLOCK:
+                last -= len(word) + 1
         return out
 
     # texts
 
     def _learn(self, words: list[str]) -> None:
-        found = [self.word_ids(word) for word in words]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        first = len(self._place)
+        found = self.words_ids(words)
+        first, size = len(self._place), sum(map(len, found))
+        begin = int(self._bounds[first])
+        self._bounds = _with_room(self._bounds, first + len(words) + 1)
+        self._known = _with_room(self._known, begin + size)
+        self._bounds[first + 1:first + len(words) + 1] = begin + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self._known[begin:begin + size] = np.fromiter(chain.from_iterable(found), np.int32, size)
         self._place.update(zip(words, range(first, first + len(words)), strict=True))
-        self._starts = np.concatenate([self._starts, len(self._known) + np.cumsum(sizes) - sizes])
-        self._sizes = np.concatenate([self._sizes, sizes])
-        self._known = np.concatenate([self._known, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
 
     def _look_up(self, words: list[str]) -> np.ndarray:
         """The ids of some words, one after the other."""
@@ -267,32 +287,36 @@ class Encoder:
         if new:
             self._learn(list(new))
         index = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
-        sizes = self._sizes[index]
+        sizes = self._bounds[index + 1] - self._bounds[index]
         after = np.cumsum(sizes)
         total = int(after[-1]) if len(after) else 0
-        return self._known[np.repeat(self._starts[index] - after + sizes, sizes) + np.arange(total)]
+        return self._known[np.repeat(self._bounds[index] - after + sizes, sizes) + np.arange(total)]
 
     def encode(self, text: str) -> np.ndarray:
         parts = [self._look_up(words) for words in self.words(self.prepared(text))]
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def _shown(self, number: int) -> bytes | int:
-        """What an id shows: text, or a byte that is part of a character."""
+        """What an id shows: text, or a byte that may be part of a character."""
         kind, piece = self.model.kinds[number], self.model.pieces[number]
         if kind == BYTE:
-            return int(piece[3:5], 16)
+            byte = int(piece[3:5], 16)
+            return byte if byte > 127 else bytes([byte])
         if kind in (CONTROL, UNKNOWN):
             return b"" if kind == CONTROL else self.model.unknown_surface.encode()
         return piece.replace(SPACE, " ").encode()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, numbers: np.ndarray) -> str:
         """The text of any ids. The space in front of a text goes; bytes that are no character show as U+FFFD."""
-        shown = [self._surface[number] for number in ids]
+        ids = numbers.tolist()
+        shown = list(map(self._surface.__getitem__, ids))
         first = 0  # ids that show nothing don't end the beginning of a text
         while first < len(shown) and shown[first] == b"":
             first += 1
         if self.model.prefix and first < len(shown) and self.model.kinds[ids[first]] == NORMAL:
             shown[first] = shown[first].removeprefix(b" ")  # type: ignore[union-attr]
+        if not self._is_part[numbers].any():
+            return b"".join(shown).decode()  # type: ignore[arg-type]
         out: list[bytes] = []
         low = 0
         while low < len(shown):
@@ -308,6 +332,11 @@ class Encoder:
         return b"".join(out).decode()
 
 
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    """The array itself, or if it is too small a copy with twice the room."""
+    return values if size <= len(values) else np.concatenate([values, np.zeros(2 * size - len(values), values.dtype)])
+
+
 def _characters(raw: bytes) -> bytes:
     """Bytes as text, each byte that belongs to no character as U+FFFD."""
     out, at = [], 0
@@ -339,7 +368,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
             ids = pa.array(np.concatenate(found) if found else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), ids),
-                pa.array([coder.decode(own.tolist()) for own in found], pa.string()),
+                pa.array([coder.decode(own) for own in found], pa.string()),
             ], names=["doc_id", "ids", "decoded"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
