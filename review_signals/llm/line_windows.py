@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from review_signals.llm.shared import staged
-from review_signals.llm.text_arrays import chunks, roll
+from review_signals.llm.shared import dropped, staged
+from review_signals.llm.text_arrays import chunks, roll, tidy
 
 WINDOW = 3
 _KEY = ("__doc", "__key")
@@ -56,8 +56,10 @@ def later_windows(found: DataFrame) -> DataFrame:
     place = F.struct(*_KEY, "line")
     repeats = found.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     repeats = staged(repeats.select("window", "first"), "repeated-windows")
-    later = found.join(repeats, "window").filter(~place.eqNullSafe(F.col("first")))
-    return later.groupBy(*_KEY).agg(F.sort_array(F.collect_set("line")).alias("__later"))
+    later = found.join(repeats.hint("shuffle_merge"), "window").filter(~place.eqNullSafe(F.col("first")))
+    later = staged(later.groupBy(*_KEY).agg(F.sort_array(F.collect_set("line")).alias("__later")), "later-windows")
+    dropped(repeats)
+    return later
 
 
 def covered_lines(first_lines: list[int] | None) -> list[int]:
@@ -80,31 +82,33 @@ def cut_lines(text: str, covered: list[int]) -> str:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with ``text`` cut; beside their columns ``n_lines`` (lines with a word), ``n_removed`` of them and
     ``n_spans`` (maximal removed runs)."""
-    later = staged(later_windows(staged(windows(docs), "line-windows")), "later-windows")
+    found = staged(windows(docs), "line-windows")
+    later = later_windows(found)
+    dropped(found)
     own = [name for name in docs.columns if name not in ("n_lines", "n_removed", "n_spans")]
     keyed = docs.select(*own, F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash"))
     same = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__key"))
-    # only documents that lose lines go through Python
-    worded = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    zero = F.lit(0).cast("long")
-    whole = keyed.join(later.drop("__later"), same, "left_anti").select(
-        *own, F.coalesce(F.size(worded), zero).cast("long").alias("n_lines"), zero.alias("n_removed"), zero.alias("n_spans"))
-    touched = keyed.join(later, same).select(*own, "__later")
+    # texts move once, in the same way at every size
+    joined = keyed.join(later.hint("shuffle_merge"), same, "left").select(*own, "__later")
     schema = docs.select(*own).schema.add("n_lines", "long").add("n_removed", "long").add("n_spans", "long")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):
             lines = np.bincount(texts.owner(texts.lines[0]), minlength=len(texts)).astype(np.int64)
             removed, spans = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-            new = part.column("text").to_pylist()
-            for i, first_lines in enumerate(part.column("__later").to_pylist()):
-                covered = covered_lines(first_lines)
-                new[i] = cut_lines(new[i], covered)
-                removed[i] = len(covered)
-                spans[i] = 1 + int((np.diff(np.array(covered)) > 1).sum())
-            columns = [pa.array(new, part.column("text").type) if name == "text" else part.column(name) for name in own]
+            new = part.column("text")
+            touched = np.flatnonzero(part.column("__later").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            if touched:
+                cut = new.to_pylist()
+                for i in touched:
+                    covered = covered_lines(part.column("__later")[i].as_py())
+                    cut[i] = cut_lines(cut[i], covered)
+                    removed[i] = len(covered)
+                    spans[i] = 1 + int((np.diff(np.array(covered)) > 1).sum())
+                new = pa.array(cut, new.type)
+            columns = [new if name == "text" else part.column(name) for name in own]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(lines), pa.array(removed), pa.array(spans)], names=[*own, "n_lines", "n_removed", "n_spans"]
             )
 
-    return whole.unionByName(touched.mapInArrow(task, schema))
+    return joined.mapInArrow(tidy(task), schema)

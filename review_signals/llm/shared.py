@@ -18,6 +18,16 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that no job will read again: what came of them has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            if "/llm/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded(rows: DataFrame, max_rows: int, sized: str | None = None, max_bytes: int = 16 << 20) -> DataFrame:
     """A staged frame, marked for broadcast if it has at most ``max_rows`` rows, and at most ``max_bytes`` in the binary
     column ``sized``; else the join shuffles as usual."""
