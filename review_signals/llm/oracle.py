@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from review_signals.llm.risk_thresholds import COUNTS, RULES, Risk, Rule
+from review_signals.llm.risk_thresholds import COUNTS, RULES, Risk, Rule, steps
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -76,31 +76,28 @@ def _breaks(rule: Rule, cutoff: str) -> str:
 
 
 def _risk_thresholds(risk: Risk = Risk()) -> str:  # noqa: B008
-    """The binomial test by sums of log gammas; a cutoff holds if it and all looser ones pass."""
+    """The binomial test by sums of log gammas; a setting holds if it and all before it pass."""
     base = "(n_words < 10 or 100 * n_repeat_words > 20 * n_words)"
-    counts, cutoffs, broken = [], [], []
-    for number, rule in enumerate(RULES):
-        for place, cutoff in enumerate(rule.cutoffs):
-            counts.append(f"select stratum, {number} as rule, {place} as place, {float(cutoff)}::double as cutoff, count(*) as n, "
-                          f"count(*) filter ({_breaks(rule, str(float(cutoff)))}) as k from good group by stratum")
-        cutoffs.append(f"max(case when rule = {number} then cutoff end) as c{number}" if rule.below else
-                       f"min(case when rule = {number} then cutoff end) as c{number}")
-        broken.append(f"when {_breaks(rule, f'c{number}')} then '{rule.name}'")
+    order = steps(RULES)
+    broken = ", ".join(f"case when {_breaks(rule, str(cutoff))} then {step} end" for step, (rule, cutoff) in enumerate(order))
+    names = ", ".join(f"'{rule.name}'" for rule, _ in order)
     return f"""
 with {MEASURED},
-judged as (select *, {base} as base_failed from measured),
+judged as (select *, {base} as base_failed, least({broken}) as first_step from measured),
 good as (select * from judged where not base_failed
          and doc_id in (select doc_id from labels group by doc_id having min(quality) = 1)),
-counted as ({" union all ".join(counts)}),
+sizes as (select stratum, count(*) as n from good group by stratum),
+counted as (select s.stratum, s.n, t.step, count(g.doc_id) as k from sizes s cross join (select unnest(range({len(order)})) as step) t
+            left join good g on g.stratum is not distinct from s.stratum and g.first_step <= t.step group by all),
 tested as (
   select *, case when k > n * {risk.risk} then 1.0 else list_sum(list_transform(range(0, k + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk.risk}) + (n - i) * ln(1 - {risk.risk})))) end as p
   from counted),
-levels as (select {risk.error} / (greatest(1, count(distinct coalesce(stratum, chr(0)))) * {len(RULES)}) as level from good),
 held as (
-  select *, max(case when p > level then 1 else 0 end) over (partition by stratum, rule order by place) as failed from tested, levels),
-valid as (select stratum, {", ".join(cutoffs)} from held where failed = 0 group by stratum),
-ruled as (select j.*, case {" ".join(broken)} end as broken_rule
+  select *, max(case when p > {risk.error} / (select greatest(1, count(*)) from sizes) then 1 else 0 end)
+            over (partition by stratum order by step) as failed from tested),
+valid as (select stratum, max(step) as last_step from held where failed = 0 group by stratum),
+ruled as (select j.*, case when first_step <= last_step then list_extract([{names}], (first_step + 1)::int) end as broken_rule
           from judged j left join valid v on j.stratum is not distinct from v.stratum)
 select doc_id, {", ".join(COUNTS)}, base_failed, broken_rule, not base_failed and broken_rule is null as kept from ruled"""
 

@@ -1,22 +1,13 @@
 """Quality rules whose cutoffs come with a guarantee on how many good documents they reject.
 
-Every rule compares one signal of a text with a cutoff. On labelled documents, the number of good ones that a cutoff
-would reject is binomial; a cutoff is valid for a stratum if the exact binomial test rejects "it loses more than
-``risk`` of the good documents" (the upper Clopper-Pearson bound is then at most ``risk``). Per rule and stratum the
-cutoffs are tested from the loosest to the strictest and the last valid one before the first failure is taken, so that
-they need no correction among themselves; Bonferroni corrects for all rules and strata. With probability 1 - ``error``
-no rule loses more than ``risk`` of the good documents of any stratum. Without enough labelled documents no cutoff is
-valid and a rule rejects nothing.
-
-``small_strata`` wastes less of the error and changes nothing for strata that have enough documents for the above. The
-number of a stratum's good documents, which says nothing about losses, decides how it is tested with its share of the
-error: enough for the test of each rule at a part of the share, as above; or enough for one test at the whole share:
-then the cutoffs of all rules are one sequence, rule after rule, up to the first failure; or too few even for that:
-then such strata are tested together, with their shares added up, and with the smallest other stratum if they need it.
-What holds for those is that no rule loses more than ``risk`` of the good documents of the strata tested together, in
-the labels' proportions (the tail for unlike strata is at most the binomial one where a test can pass); of these
-cutoffs a stratum takes the last that loses at most ``risk`` of its own labelled documents. A stratum without any
-labelled good document never gets a cutoff.
+Every rule compares one signal of a text with a cutoff. A setting has a cutoff for some of the rules, and the settings
+form one fixed sequence: each step tightens one rule by one cutoff, the loosest cutoffs of all rules come first, then
+the next ones. On labelled documents, the number of good ones that a whole setting would reject, by whichever rule, is
+binomial; a setting is valid for a stratum if the exact binomial test rejects "it loses more than ``risk`` of the good
+documents" (the upper Clopper-Pearson bound is then at most ``risk``). A stratum's settings are tested in their order up
+to the first failure, so that they need no correction among themselves; the error is split over the strata. With
+probability 1 - ``error`` no stratum loses more than ``risk`` of its good documents, by all rules together. A stratum
+with too few labelled good documents (``labels_needed``) has no valid setting, and its rules reject nothing.
 
 Defined cases: a null text has no words. A null stratum is a stratum of its own. A null doc_id has no label. Repeated
 rows are measured once each; of several labels of a document the worst counts once. Empty tables give empty results;
@@ -30,13 +21,12 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from review_signals.llm.shared import bounded, staged
-from review_signals.llm.text_arrays import Texts, chunks, covered, mix, repeated, roll
+from review_signals.llm.shared import bounded, dropped, staged
+from review_signals.llm.text_arrays import Texts, chunks, covered, mix, repeated, roll, tidy
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_lines", "n_closed")
 _IS_SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -71,7 +61,6 @@ class Risk:
     risk: float = 0.01
     error: float = 0.05
     max_broadcast_strata: int = 100_000
-    small_strata: bool = False
 
 
 def count_signals(texts: Texts) -> dict[str, np.ndarray]:
@@ -100,20 +89,21 @@ def count_signals(texts: Texts) -> dict[str, np.ndarray]:
     }
 
 
-def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The counts of every whole text, beside the columns ``keep``."""
-    kept = docs.select(*keep).schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{name} long" for name in COUNTS)])
+def measure(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
+    """The counts of every whole text, beside the columns ``keep``; the names of the counts begin with ``prefix``."""
+    schema = docs.select(*keep).schema
+    for name in COUNTS:
+        schema = schema.add(prefix + name, "long")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in chunks(batches, "__text"):
+        for part, texts in chunks(batches, "text"):
             counts = count_signals(texts)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(name) for name in keep), *(pa.array(counts[name], pa.int64()) for name in COUNTS)],
-                names=[*keep, *COUNTS],
+                names=schema.names,
             )
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(task, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(tidy(task), schema)
 
 
 def _log_gamma(values: np.ndarray) -> np.ndarray:
@@ -135,111 +125,106 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return float(min(1.0, np.exp(logs).sum()))
 
 
-def _signal(rule: Rule) -> Column:
-    return F.when(F.col(rule.bottom) > 0, F.col(rule.top) / F.col(rule.bottom))
+def steps(rules: tuple[Rule, ...]) -> list[tuple[Rule, float]]:
+    """The rule that each step tightens, and its cutoff from then on."""
+    longest = max(len(rule.cutoffs) for rule in rules)
+    return [(rule, float(rule.cutoffs[place])) for place in range(longest) for rule in rules if place < len(rule.cutoffs)]
 
 
-def _breaks(rule: Rule, cutoff: Column) -> Column:
-    signal = _signal(rule)
-    return F.coalesce(signal < cutoff if rule.below else signal > cutoff, F.lit(False))
+def first_step(rules: tuple[Rule, ...], prefix: str = "") -> Column:
+    """The first step whose setting rejects a measured text, null if none does: it and all later ones do."""
+
+    def breaks(rule: Rule, cutoff: float) -> Column:
+        top, bottom = F.col(prefix + rule.top), F.col(prefix + rule.bottom)
+        signal = F.when(bottom > 0, top / bottom)
+        return signal < cutoff if rule.below else signal > cutoff
+
+    found = [F.when(breaks(rule, cutoff), number) for number, (rule, cutoff) in enumerate(steps(rules))]
+    return F.coalesce(*found)
 
 
 def labels_needed(level: float, risk: float) -> int:
-    """Good documents with which a cutoff that loses none of them passes a test at ``level``."""
+    """Good documents with which a setting that loses none of them passes a test at ``level``."""
     return math.ceil(math.log(level) / math.log1p(-risk))
 
 
-def _valid(lost: Mapping[str, int], rules: tuple[Rule, ...], risk: float, level: float, together: bool = False) -> dict[str, int]:
-    """How many cutoffs of each rule are valid: each rule a sequence at ``level``, or all of them ``together`` one."""
-    valid = dict.fromkeys((rule.name for rule in rules), 0)
-    for rule in rules:
-        for place in range(len(rule.cutoffs)):
-            if binomial_tail(lost[f"{rule.name}_{place}"], lost["n"], risk) > level:
-                if together:
-                    return valid
-                break
-            valid[rule.name] = place + 1
-    return valid
-
-
-def _valid_by_size(lost: Mapping[str, int], rules: tuple[Rule, ...], risk: float, level: float) -> dict[str, int]:
-    each = level / len(rules)
-    if lost["n"] >= labels_needed(each, risk):
-        return _valid(lost, rules, risk, each)
-    return _valid(lost, rules, risk, level, together=True)
-
-
-def _valid_together(counted: DataFrame, rules: tuple[Rule, ...], risk: Risk, share: float) -> dict[str, int]:
-    """Valid cutoffs over all strata that are too small for a test at their ``share`` of the error."""
-    need = labels_needed(share, risk.risk)
-    names = [name for name in counted.columns if name != "stratum"]
-    found = counted.filter(F.col("n") < need).agg(F.count(F.lit(1)).alias("strata"), *(F.sum(name).alias(name) for name in names)).first()
-    if not found["strata"]:
-        return dict.fromkeys((rule.name for rule in rules), 0)
-    level = share * found["strata"]
-    lost = {name: found[name] for name in names}
-    if lost["n"] < labels_needed(level, risk.risk):
-        for more in counted.filter(F.col("n") >= need).orderBy("n", "stratum").limit(1).collect():
-            lost = {name: lost[name] + more[name] for name in names}
-    return _valid_by_size(lost, rules, risk.risk, level)
-
-
-def select_cutoffs(good: DataFrame, stratum: str, rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()) -> DataFrame:  # noqa: B008
-    """One row per stratum with, per rule, its valid cutoff or null; ``good`` are the measured good documents.
-
-    One aggregation counts the documents that each cutoff loses; the tests run on its rows, in tasks.
+def last_valid(lost: Mapping[int, int], n: int, size: int, risk: float, level: float) -> int:
+    """The last valid one of ``size`` steps, or -1; ``lost`` has how many of ``n`` documents each step is the first to lose."""
+    total = 0
+    for step in range(size):
+        total += lost.get(step, 0)
+        if binomial_tail(total, n, risk) > level:
+            return step - 1
+    return size - 1
+
+
+def select_settings(good: DataFrame, stratum: str, rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()) -> DataFrame:  # noqa: B008
+    """One row per stratum with its ``last_step``, -1 if no setting is valid, and the cutoff of each rule there, or null;
+    ``good`` are the measured good documents.
+
+    One aggregation counts the documents by the step that loses them first; the tests run on its rows, in tasks.
     """
-    lost = [
-        F.sum(_breaks(rule, F.lit(float(cutoff))).cast("long")).alias(f"{rule.name}_{place}")
-        for rule in rules for place, cutoff in enumerate(rule.cutoffs)
-    ]
-    counted = staged(good.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *lost), "risk-counts")
-    share = risk.error / max(1, counted.count())
-    together = _valid_together(counted, rules, risk, share) if risk.small_strata else {}
-
-    def valid(row: Mapping[str, int]) -> dict[str, int]:
-        if not risk.small_strata:
-            return _valid(row, rules, risk.risk, share / len(rules))
-        if row["n"] >= labels_needed(share, risk.risk):
-            return _valid_by_size(row, rules, risk.risk, share)
-        return {
-            rule.name: max((place + 1 for place in range(together[rule.name])
-                            if row[f"{rule.name}_{place}"] <= risk.risk * row["n"]), default=0)
-            for rule in rules
-        }
-
-    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = [valid(row) for row in frame.to_dict("records")]
-            result = {"stratum": frame["stratum"]}
-            for rule in rules:
-                chosen = [float(rule.cutoffs[held[rule.name] - 1]) if held[rule.name] else None for held in found]
-                result[rule.name] = pd.Series(chosen, dtype="float64")
-            yield pd.DataFrame(result)
+    known = good.select(F.col(stratum).alias("stratum"), first_step(rules).alias("step"))
+    counted = known.groupBy("stratum", "step").agg(F.count(F.lit(1)).alias("n")).groupBy("stratum").agg(
+        F.sum("n").alias("n"), F.collect_list(F.struct("step", "n")).alias("lost"))
+    counted = staged(counted, "risk-counts")
+    level, order = risk.error / max(1, counted.count()), steps(rules)
+    names = [rule.name for rule in rules]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for n, lost in zip(batch.column("n").to_pylist(), batch.column("lost").to_pylist(), strict=True):
+                by_step = {entry["step"]: entry["n"] for entry in lost if entry["step"] is not None}
+                last = last_valid(by_step, n, len(order), risk.risk, level)
+                rows.append((last, {rule.name: cutoff for rule, cutoff in order[:last + 1]}))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("stratum"), pa.array([last for last, _ in rows], pa.int32()),
+                *(pa.array([held.get(name) for _, held in rows], pa.float64()) for name in names),
+            ], names=["stratum", "last_step", *names])
 
     kind = counted.schema["stratum"].dataType.simpleString()
-    rows = counted.mapInPandas(choose, f"stratum {kind}, " + ", ".join(f"{rule.name} double" for rule in rules))
-    return rows.select("stratum", *(F.nanvl(rule.name, F.lit(None).cast("double")).alias(rule.name) for rule in rules))
+    return counted.mapInArrow(choose, f"stratum {kind}, last_step int, " + ", ".join(f"{name} double" for name in names))
+
 
+def base_failed(prefix: str = "") -> Column:
+    n_words, again = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    return (n_words < 10) | (100 * again > 20 * n_words)
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+
+def learn(measured: DataFrame, labels: DataFrame, stratum: str, rules: tuple[Rule, ...], risk: Risk) -> DataFrame:
+    """The last valid step of each stratum, as ``__stratum`` and ``__last``."""
+    good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
+    counted = measured.filter(~base_failed()).join(good, "doc_id", "left_semi")
+    settings = bounded(staged(select_settings(counted, stratum, rules, risk), "settings"), risk.max_broadcast_strata)
+    return settings.select(F.col("stratum").alias("__stratum"), F.col("last_step").alias("__last"))
 
 
 def judge(
     docs: DataFrame, labels: DataFrame, stratum: str = "lang", rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()  # noqa: B008
 ) -> DataFrame:
-    """Counts, ``base_failed``, the broken rule if any and ``kept`` of every document. ``text_key`` tells rows of one
-    doc_id apart."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.col(stratum).alias("stratum"))
-    measured = staged(measure(rows, ("doc_id", "text_key", "stratum")), "measured")
-    good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    counted = measured.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    cutoffs = bounded(staged(select_cutoffs(counted, "stratum", rules, risk), "cutoffs"), risk.max_broadcast_strata)
-    cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), *(F.col(rule.name).alias(f"__{rule.name}") for rule in rules))
-    judged = measured.join(cutoffs, F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
-    broken = F.coalesce(*(F.when(_breaks(rule, F.col(f"__{rule.name}")), F.lit(rule.name)) for rule in rules))
+    """Counts, ``base_failed``, ``kept`` and the broken rule, if any, of every document: the rule of the first step that
+    rejects it."""
+    measured = staged(measure(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), ("doc_id", "stratum")), "measured")
+    settings = learn(measured, labels, "stratum", rules, risk)
+    judged = measured.join(settings, F.col("stratum").eqNullSafe(F.col("__stratum")), "left").withColumn("step", first_step(rules))
+    names = F.array(*(F.lit(rule.name) for rule, _ in steps(rules)))
+    broken = F.when(F.col("step") <= F.col("__last"), F.get(names, F.col("step")))
     return judged.select(
-        "doc_id", *COUNTS, base_failed().alias("base_failed"), broken.alias("broken_rule"),
-        (~base_failed() & broken.isNull()).alias("kept"), "text_key",
+        "doc_id", *COUNTS[:5], base_failed().alias("base_failed"), (~base_failed() & broken.isNull()).alias("kept"),
+        *COUNTS[5:], broken.alias("broken_rule"),
     )
+
+
+def keep(
+    docs: DataFrame, labels: DataFrame, stratum: str = "lang", rules: tuple[Rule, ...] = RULES, risk: Risk = Risk()  # noqa: B008
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge` keeps, with all their columns. Texts are measured a second time instead of
+    being joined to their verdicts, so nothing of them is shuffled."""
+    measured = staged(measure(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), ("doc_id", "stratum")), "measured")
+    settings = learn(measured, labels, "stratum", rules, risk)
+    dropped(measured)
+    rows = measure(docs, tuple(docs.columns), "__").withColumn("__step", first_step(rules, "__"))
+    rows = rows.join(settings, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
+    rejected = base_failed("__") | F.coalesce(F.col("__step") <= F.col("__last"), F.lit(False))
+    return rows.filter(~rejected).select(*docs.columns)

@@ -5,7 +5,20 @@ import random
 
 import pytest
 
-from review_signals.llm.risk_thresholds import RULES, Risk, Rule, _valid_by_size, binomial_tail, judge, labels_needed, measure, select_cutoffs
+from review_signals.llm.oracle import _risk_thresholds
+from review_signals.llm.risk_thresholds import (
+    COUNTS,
+    RULES,
+    Risk,
+    binomial_tail,
+    judge,
+    keep,
+    labels_needed,
+    last_valid,
+    measure,
+    select_settings,
+    steps,
+)
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -22,15 +35,15 @@ def good_text(generator):
     return " ".join("".join(generator.choices("abcdefgh", k=generator.randrange(3, 8))) for _ in range(40)) + "."
 
 
-def test_cutoffs_need_enough_labels_and_hold_the_risk(docs):
+def test_settings_need_enough_labels_and_hold_the_risk(docs):
     generator = random.Random(1)
     rows = [(i, good_text(generator)) for i in range(900)]
     rows = [(i, t.replace(" ", "# ") if i % 200 == 0 else t) for i, t in rows]
     measured = measure(docs(rows).selectExpr("*", "if(doc_id < 40, 'few', 'many') as stratum"), ("doc_id", "stratum"))
-    chosen = {r.stratum: r for r in select_cutoffs(measured, "stratum", RULES, Risk(risk=0.05)).collect()}
-    assert all(chosen["few"][rule.name] is None for rule in RULES)
+    chosen = {r.stratum: r for r in select_settings(measured, "stratum", RULES, Risk(risk=0.05)).collect()}
+    assert chosen["few"].last_step == -1 and all(chosen["few"][rule.name] is None for rule in RULES)
     assert chosen["many"]["symbols"] == 0.01 and chosen["many"]["upper_case"] == 0.1
-    strict = {r.stratum: r for r in select_cutoffs(measured, "stratum", RULES, Risk(risk=0.01)).collect()}
+    strict = {r.stratum: r for r in select_settings(measured, "stratum", RULES, Risk(risk=0.01)).collect()}
     assert strict["many"]["symbols"] == 0.2  # five good documents of 860 would be lost from 0.1 on
 
 
@@ -47,43 +60,65 @@ COUNTED = "lang string, n_words long, word_chars long, n_symbols long, n_dup_lin
 
 
 def measured_rows(spark, **strata):
-    """So many good documents per stratum, words of so many letters, and so many documents full of symbols."""
+    """So many good documents per stratum, words of so many letters, so many documents full of symbols, as many others of
+    long words."""
     rows = []
-    for name, (n, letters, symbols) in strata.items():
-        rows += [(name, 100, 100 * letters, 60 * letters if i < symbols else 0, 0, 0, 2, 10, 10) for i in range(n)]
+    for name, (n, letters, odd) in strata.items():
+        for i in range(n):
+            long = 40 if odd <= i < 2 * odd else letters
+            rows.append((name, 100, 100 * long, 60 * letters if i < odd else 0, 0, 0, 2, 10, 10))
     return spark.createDataFrame(rows, COUNTED)
 
 
-def test_small_strata_get_cutoffs(spark):
-    good = measured_rows(spark, en=(2000, 5, 0), de=(493, 5, 0), fr=(498, 5, 2), es=(312, 5, 0))
-    plain = {r.lang: r for r in select_cutoffs(good.withColumnRenamed("lang", "s"), "s").withColumnRenamed("stratum", "lang").collect()}
-    assert plain["en"]["symbols"] == 0.01 and all(plain[lang]["symbols"] is None for lang in ("de", "fr", "es"))
-    chosen = {r.stratum: r for r in select_cutoffs(good, "lang", RULES, Risk(small_strata=True)).collect()}
-    assert all(chosen["en"][rule.name] == plain["en"][rule.name] for rule in RULES)
-    assert all(chosen[lang]["symbols"] == 0.01 and chosen[lang]["short_words"] == 3.5 for lang in ("en", "de", "es"))
-    assert all(chosen["fr"][rule.name] is None for rule in RULES)  # loses two under the first cutoff
+def chosen_of(frame):
+    return {r.stratum: r for r in frame.collect()}
 
 
-def test_strata_tested_together(spark):
-    good = measured_rows(spark, de=(210, 5, 0), fr=(210, 5, 0), es=(40, 5, 1), zh=(2, 11, 0))
-    chosen = {r.stratum: r for r in select_cutoffs(good, "lang", RULES, Risk(risk=0.02, small_strata=True)).collect()}
-    assert chosen["de"]["symbols"] == chosen["fr"]["symbols"] == chosen["zh"]["symbols"] == 0.01
-    assert chosen["es"]["symbols"] is None and chosen["es"]["long_words"] == 10  # 1 of its 40 has too many symbols
-    assert chosen["zh"]["long_words"] == 12  # 10 is valid for all of them together, but would lose all of its own
-    few = {r.stratum: r for r in select_cutoffs(measured_rows(spark, de=(100, 5, 0), fr=(100, 5, 0)), "lang", RULES, Risk(small_strata=True)).collect()}
-    assert all(row[rule.name] is None for row in few.values() for rule in RULES)
+def test_what_all_rules_lose_together_counts(spark):
+    good = measured_rows(spark, en=(2000, 5, 0), de=(493, 5, 0), fr=(498, 5, 2), es=(312, 5, 0), it=(2000, 5, 6))
+    chosen = chosen_of(select_settings(good, "lang"))
+    assert labels_needed(0.05 / 5, 0.01) == 459
+    assert all(chosen[lang].last_step == len(steps(RULES)) - 1 for lang in ("en", "de"))
+    assert chosen["es"].last_step == -1  # too few for any test
+    assert chosen["fr"].last_step == -1  # the first step loses two of 498, the fewest that fail are one
+    # six of 2,000 pass under the first cutoff for symbols, but six more are lost under the first for long words
+    assert binomial_tail(6, 2000, 0.01) < 0.01 and chosen["it"]["symbols"] == 0.5
+    assert binomial_tail(12, 2000, 0.01) > 0.01 and chosen["it"]["long_words"] is None and chosen["it"].last_step == 4
 
 
-def test_labels_a_test_needs_and_its_error():
-    assert labels_needed(0.05 / 28, 0.01) == 630 and labels_needed(0.05 / 4, 0.01) == 437 and labels_needed(0.05, 0.01) == 299
-    rules = tuple(Rule(f"r{i}", "a", "b", (2.0, 1.0)) for i in range(7))
+def test_the_joint_loss_is_bounded():
+    """Rules that lose a bit more than the risk together, in all ways of sharing it, hardly ever pass."""
     generator = random.Random(4)
-    for n in (450, 700):  # every rule loses 1.1 %: nearly always, no cutoff may be valid
+    for shares in ([0.011], [0.0016] * 7, [0.009, 0.002]):
         wrong = 0
         for _ in range(400):
-            lost = {f"{rule.name}_{place}": sum(generator.random() < 0.011 for _ in range(n)) for rule in rules for place in range(2)}
-            wrong += any(_valid_by_size({**lost, "n": n}, rules, 0.01, 0.05).values())
-        assert wrong <= 0.08 * 400
+            lost = {}
+            for step, share in enumerate(shares):
+                lost[step] = sum(generator.random() < share for _ in range(700))
+            wrong += last_valid(lost, 700, 44, 0.01, 0.05) >= len(shares) - 1
+        assert wrong <= 0.07 * 400
+
+
+def test_equals_the_sql_with_valid_settings(spark):
+    """Tables where some strata have enough labels and others don't."""
+    from tests.oracle_check import connect, differences
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    risk = Risk(risk=0.02)
+    result = judge(docs, labels, risk=risk)
+    assert {r.broken_rule for r in result.select("broken_rule").distinct().collect()} - {None}
+    assert differences(result, connect("/root/testdata/sf0.01"), _risk_thresholds(risk)) == []
+
+
+def test_keep_keeps_what_judge_keeps(spark, docs):
+    generator = random.Random(3)
+    rows = [(i, good_text(generator)) for i in range(700)] + [(5000 + i, good_text(generator).replace(" ", "### ")) for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(700)], LABELS)
+    frame = docs([*rows, (9000, None), (9001, "few words")]).selectExpr("*", "7 as n_words", "8 as stratum")
+    assert judge(frame, labels).columns[:8] == ["doc_id", *COUNTS[:5], "base_failed", "kept"]
+    kept = keep(frame, labels)
+    assert kept.columns == frame.columns and {r.n_words for r in kept.collect()} == {7}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judge(frame, labels).filter("kept").collect()} == set(range(700))
 
 
 def test_odd_texts(spark, docs):
