@@ -545,7 +545,7 @@ ORACLE: dict[str, str] = {
         f", {_FEATURES}",
     ),
     "score_reviews": _on_labeled(
-        f"""select review_id, product_category, is_likely_fraud, true as score_is_share, true as verdict_follows
+        f"""select review_id, product_category, is_likely_fraud, true as ranks_well, true as score_is_share, true as verdict_follows
             from labeled where {_bucket('review_id')} >= 70"""
     ),
     "ranking_metrics": f"""with {_PREDICTIONS}, {_BY_VALUE}
@@ -586,3 +586,63 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["stream_json_decode"] = ORACLE["json_decode"]
+ORACLE["history_merge"] = _on_reviews(
+    f""", rh as ({_reviewer_history('reviews')})
+        select customer_id, rh_total_reviews, round(rh_avg_rating, 6) as rh_avg_rating,
+               round(rh_rating_stddev, 6) as rh_rating_stddev, round(rh_pct_verified, 6) as rh_pct_verified,
+               rh_days_active, rh_max_per_day from rh""")
+ORACLE["product_history_merge"] = _on_reviews(
+    f""", ph as ({_product_history('reviews')})
+        select product_id, ph_total_reviews, round(ph_avg_rating, 6) as ph_avg_rating,
+               round(ph_pct_5star, 6) as ph_pct_5star, round(ph_pct_verified, 6) as ph_pct_verified, ph_days_active from ph""")
+ORACLE["entity_sketches"] = _on_reviews(
+    """select product_category, count(*) as reviews, count(distinct customer_id) as exact_reviewers,
+              count(distinct product_id) as exact_products, true as reviewers_close, true as products_close from reviews group by 1""")
+ORACLE["partition_refresh"] = _on_reviews(
+    """select review_id, customer_id, product_id, product_category,
+              (case when product_category = 'PROMO' then 6 - star_rating else star_rating end)::int as star_rating from reviews""")
+ORACLE["scan_files"] = """
+    select case when doc_id % 3 = 0 then 'old' else 'new' end as layout, count(*) as row_count,
+           count(*) filter (doc_id is null) as doc_id_missing, count(*) filter (doc_id % 3 = 0 or lang is null) as lang_missing,
+           count(*) filter (doc_id % 3 = 0 or source is null) as source_missing, count(*) filter (n_chars is null) as n_chars_missing,
+           sum(n_chars)::bigint as chars, max(doc_id) as last_id
+    from documents group by 1"""
+ORACLE["ranking_by_category"] = f"""with {_PREDICTIONS},
+    points as (
+      select product_category, fraud_probability as score, count(*) filter (star_rating >= 4) as hits, count(*) as n
+      from predictions where fraud_probability is not null group by all),
+    curve as (
+      select *, sum(hits) over w as tp, sum(n - hits) over w as fp from points
+      window w as (partition by product_category order by score desc rows unbounded preceding)),
+    steps as (
+      select *, coalesce(lag(tp) over o, 0) as tp0, coalesce(lag(fp) over o, 0) as fp0, tp / (tp + fp) as p,
+             coalesce(lag(tp / (tp + fp)) over o, tp / (tp + fp)) as p0
+      from curve window o as (partition by product_category order by score desc))
+    select product_category, sum(n)::bigint as reviews, sum(hits)::bigint as positives,
+           round(sum((fp - fp0) * (tp + tp0) / 2.0::double) / nullif(sum(hits)::double * sum(n - hits)::double, 0), 6) as roc_auc,
+           round(sum((tp - tp0) * (p + p0) / 2) / nullif(sum(hits)::double, 0), 6) as pr_auc
+    from steps group by product_category"""
+
+_RULE_SCORED = f"""
+    with {_DOCS}, {_CUT},
+    train as (select * from docs where {_bucket('review_id')} < 70),
+    ph as ({_product_history('train')}),
+    valid as (select * from split_up where not is_cut),
+    measured as (select review_id, {_text('review_body')} from docs),
+    ruled as (
+      select d.review_id, d.product_id, d.product_category, d.star_rating,
+             round(abs(round(d.star_rating - coalesce(ph_avg_rating, 3.0::double), 6)) / 4 + round(m.txt_caps_ratio, 6), 6) as fraud_probability
+      from valid d join measured m on m.review_id = d.review_id left join ph on ph.product_id = d.product_id),
+    scored as (select *, cast(fraud_probability >= 0.5 as int)::double as prediction from ruled),
+    timed as (select *, timestamp '1970-01-01' + to_minutes(review_id::int) as moment from scored where prediction = 1),
+    placed as (select *, time_bucket(interval 1 hour, moment) as window_start from timed
+               union all select *, time_bucket(interval 1 hour, moment) - interval 1 hour as window_start from timed)"""
+ORACLE["stream_scored"] = f"""{_RULE_SCORED}
+    select review_id, product_id, product_category, star_rating, prediction, fraud_probability from scored"""
+ORACLE["stream_fan_out_alerts"] = f"""{_RULE_SCORED}
+    select cast(window_start as varchar) as window_start, cast(window_start + interval 2 hours as varchar) as window_end,
+           product_category, count(*) as fraud_count, round(avg(fraud_probability), 6) as avg_fraud_prob
+    from placed p group by p.window_start, product_category having count(*) >= 3"""
+ORACLE["stream_batch_counts"] = f"""{_RULE_SCORED}
+    select 2::bigint as batches, (select count(*) from docs) as messages, (select count(*) from split_up where is_cut) as broken,
+           (select count(*) from scored) as scored, (select count(*) from timed) as flagged"""

@@ -18,13 +18,16 @@ from review_signals.operators import metrics as Q
 from review_signals.operators import model as M
 from review_signals.operators import monitor as W
 from review_signals.operators import profile as P
+from review_signals.operators import ranking as A
 from review_signals.operators import rolling as R
 from review_signals.operators import split as S
+from review_signals.operators import tallies as B
 from review_signals.schemas import FEATURE_COLUMNS, MESSAGE_COLUMNS
 from review_signals.sources import messages as J
 from review_signals.sources import standin as D
 from review_signals.session import shared_dir
-from review_signals.sources.tables import read_table, stage, write_by_category
+from review_signals.sources.tables import read_layouts, read_table, replace_partitions, stage, unstage, write_by_category
+from review_signals.streaming import fan_out as O
 from review_signals.streaming import scoring as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +221,19 @@ def entity_counts(spark, d):
     return P.entity_counts(D.reviews(spark, d))
 
 
+@query
+def entity_sketches(spark, d):
+    """Distinct reviewers and products per category from sketches that were kept per category and day, held against
+    exact counts."""
+    rows = D.reviews(spark, d)
+    kept = stage(P.entity_sketches(rows, "product_category", "review_date"), "sketches")
+    exact = rows.groupBy("product_category").agg(
+        F.count_distinct("customer_id").alias("exact_reviewers"), F.count_distinct("product_id").alias("exact_products"))
+    both = P.merged_entities(kept, "product_category").join(exact, "product_category")
+    close = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.02 * F.col(f"exact_{c}")).alias(f"{c}_close") for c in ("reviewers", "products")]
+    return both.select("product_category", "reviews", "exact_reviewers", "exact_products", *close)
+
+
 # --- windows and labels ---------------------------------------------------------------------------
 
 
@@ -350,6 +366,31 @@ def product_lookup(spark, d):
     return rounded(H.product_history(S.train_part(D.reviews(spark, d))), *PRODUCT_ROUNDING)
 
 
+def _kept_up_to_date(spark, d, key):
+    """The history after three batches of reviews that came one by one, the second of them twice; days are spread over
+    batches, and the last batch meets compacted sums."""
+    base, rows = _workspace(spark), D.reviews(spark, d)
+    store, lookup = f"{base}/batches", None
+    part = F.crc32(F.col("review_id").cast("binary")) % 3
+    for number, batch in enumerate((0, 1, 1, 2)):
+        if number == 3:
+            B.compact(B.read_batches(spark, store), f"{base}/compacted", key)
+            store = f"{base}/compacted"
+        B.add_batch(rows.where(part == batch), store, key, batch + 1)
+        lookup = stage(B.refreshed(lookup, B.read_batches(spark, store), key, batch + 1), "lookup")
+    return lookup
+
+
+@query
+def history_merge(spark, d):
+    return rounded(_kept_up_to_date(spark, d, "customer_id"), *LOOKUP_ROUNDING)
+
+
+@query
+def product_history_merge(spark, d):
+    return rounded(_kept_up_to_date(spark, d, "product_id"), *PRODUCT_ROUNDING)
+
+
 @query
 def text_features(spark, d):
     documents = D.document_reviews(spark, d)
@@ -440,16 +481,27 @@ def feature_stddev(spark, d):
     return rounded(M.fitted_scale(_features(spark, d)), "scale")
 
 
+#: Area under the ROC curve on held-out rows that a right forest reaches; a scorer that knows nothing has 0.5.
+RANKED = 0.9
+
+
 @query
 def score_reviews(spark, d):
-    """Train on the training rows, score the held-out rows. Scores depend on the forest, so what must hold for any of
-    them is shown: they are shares, and verdicts follow from them."""
+    """Train on the training rows, save and load the model, score the held-out rows. Scores depend on the forest, so what
+    must hold for any right one is shown: it ranks well, scores are shares, and verdicts follow from them."""
     features = stage(_features(spark, d), "features")
-    model = M.train(S.train_part(features, key="review_id"), ForestSettings())
+    path = f"{_workspace(spark)}/model"
+    M.save(M.train(S.train_part(features, key="review_id"), ForestSettings()), path)
+    scored = M.score(S.test_part(features, key="review_id"), M.load(path), SERVING_THRESHOLD)
+    scored = stage(Q.with_label(scored).select(
+        "review_id", "product_category", "is_likely_fraud", "label", "fraud_probability", "prediction"), "scored")
+    unstage(features)
+    # what a right forest reaches: it ranks nearly all held-out positives over nearly all others
+    reached = M.areas(scored)["roc_auc"] >= RANKED
     score = F.col("fraud_probability")
     verdict = F.when(score >= SERVING_THRESHOLD, 1.0).otherwise(0.0)
-    return M.score(S.test_part(features, key="review_id"), model, SERVING_THRESHOLD).select(
-        "review_id", "product_category", "is_likely_fraud",
+    return scored.select(
+        "review_id", "product_category", "is_likely_fraud", F.lit(reached).alias("ranks_well"),
         score.between(0.0, 1.0).alias("score_is_share"), (F.col("prediction") == verdict).alias("verdict_follows"),
     )
 
@@ -469,6 +521,13 @@ def ranking_metrics(spark, d):
     return rounded(found.select("model", "roc_auc", "pr_auc"), "roc_auc", "pr_auc")
 
 
+@query
+def ranking_by_category(spark, d):
+    events = D.predictions(spark, d)
+    labelled = events.withColumn("label", F.when(F.col("star_rating") >= 4, 1.0).otherwise(0.0))
+    return rounded(A.areas_by(labelled, "product_category"), "roc_auc", "pr_auc")
+
+
 @query
 def model_comparison(spark, d):
     both = [M.evaluate(_ranked(spark, d, score), score) for score in ("by_value", "by_number")]
@@ -518,6 +577,99 @@ def stream_sliding_alerts(spark, d):
     return as_text(rounded(spark.read.parquet(f"{base}/out"), "avg_fraud_prob"), "window_start", "window_end")
 
 
+@query
+def partition_refresh(spark, d):
+    """One category of a written table is replaced, with every rating turned around; the others keep their files."""
+    path, rows = _workspace(spark), D.reviews(spark, d)
+    write_by_category(rows, path)
+    turned = rows.where(F.col("product_category") == "PROMO").withColumn("star_rating", (6 - F.col("star_rating")).cast("int"))
+    replace_partitions(turned, path, "product_category")
+    return read_table(spark, path).select(*SPLIT_COLUMNS, "product_category", "star_rating")
+
+
+@query
+def scan_files(spark, d):
+    """Documents in files of two layouts: ids as text and no language, and all columns as they are given."""
+    base, documents = _workspace(spark), D.table(spark, d, "documents")
+    first = F.col("doc_id") % 3 == 0
+    old = documents.where(first).select(F.col("doc_id").cast("string").alias("DOC_ID"), "text", F.col("n_chars").cast("int"))
+    old.coalesce(1).write.parquet(f"{base}/old")
+    documents.where(~first).coalesce(1).write.parquet(f"{base}/new")
+    rows = read_layouts(spark, "doc_id bigint, lang string, source string, n_chars bigint", f"{base}/old", f"{base}/new")
+    folder = F.element_at(F.split("file", "/"), -2).alias("layout")
+    profile = P.file_profile(rows, "doc_id", "lang", "source", "n_chars")
+    chars = rows.groupBy("file").agg(F.sum("n_chars").alias("chars"), F.max("doc_id").alias("last_id"))
+    return profile.join(chars, "file").select(folder, *profile.columns[1:], "chars", "last_id")
+
+
+EVENT_WINDOWS = AlertRule(window="2 hours", slide="1 hour", min_hits=3)
+STREAM_THRESHOLD = 0.5
+
+
+def _rule_score(reviewers, products):
+    """A fixed rule as the scorer: how far a rating is from the product's mean, and how loud the text is."""
+
+    def score(rows):
+        enriched = X.enrich(rows, reviewers, products)
+        joined = rows.select("review_id", "product_id", "star_rating", "timestamp").join(
+            enriched.select("review_id", "product_category", *FEATURE_COLUMNS), "review_id")
+        apart = F.abs(F.round("xf_rating_vs_product", 6)) / 4
+        score = F.round(apart + F.round("txt_caps_ratio", 6), 6)
+        return joined.withColumn("fraud_probability", score).withColumn("prediction", flagged(score, STREAM_THRESHOLD))
+
+    return score
+
+
+def _fanned_out(spark, d):
+    """All documents as messages, some of them broken, through one pass that fills three tables. They come in two parts;
+    the second batch is then worked off again, as after a failure between its writes and the commit."""
+    base, rows = _workspace(spark), D.document_reviews(spark, d)
+    train = S.train_part(rows, key="review_id")
+    score = _rule_score(stage(H.reviewer_history(train), "reviewers"), stage(H.product_history(train), "products"))
+    text = F.col("value")
+    cut = F.when(F.length(text) % 11 == 0, F.substring(text, 1, 40)).otherwise(text)
+    minute = F.timestamp_seconds(F.col("key").cast("bigint") * 60)
+    envelopes = J.encode_messages(rows).select(cut.cast("binary").alias("value"), minute.alias("timestamp"), "key")
+    for part in (0, 1, None):
+        if part is None:
+            _forget_commit(spark, f"{base}/checkpoint", batch=1)
+        else:
+            own = envelopes.where(F.crc32(F.col("key").cast("binary")) % 2 == part).drop("key")
+            own.write.mode("append").parquet(f"{base}/in")
+        _worked_off(O.start_fan_out(J.file_stream(spark, f"{base}/in"), f"{base}/out", score, f"{base}/checkpoint", None,
+                                    EVENT_WINDOWS, ("product_category",)))
+    return f"{base}/out"
+
+
+def _forget_commit(spark, checkpoint, batch):
+    """The state of a query that has written a batch and then failed: the batch is planned and not committed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/{batch}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.delete(path, False):
+        raise FileNotFoundError(path.toString())
+    files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits/.{batch}.crc"), False)
+
+
+@query
+def stream_scored(spark, d):
+    scored = O.read_complete(spark, _fanned_out(spark, d), "predictions")
+    return scored.select("review_id", "product_id", "product_category", "star_rating", "prediction", "fraud_probability")
+
+
+@query
+def stream_fan_out_alerts(spark, d):
+    """Alerts from sums that were counted batch by batch."""
+    found = O.alerts(O.read_complete(spark, _fanned_out(spark, d), "hits"), EVENT_WINDOWS, ("product_category",))
+    return as_text(rounded(found, "avg_fraud_prob"), "window_start", "window_end")
+
+
+@query
+def stream_batch_counts(spark, d):
+    """What was counted while the batches were written, over all of them."""
+    counted = O.read_batches(spark, _fanned_out(spark, d))
+    return counted.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ("messages", "broken", "scored", "flagged")])
+
+
 @query
 def stream_json_decode(spark, d):
     """All documents as messages through a stream that is started twice, into a table."""

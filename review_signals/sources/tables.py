@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from review_signals.session import shared_dir
 
@@ -42,6 +45,35 @@ def write_partitioned(rows: DataFrame, path: str, *keys: str, rebalance: bool =
     rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*keys).parquet(path)
 
 
+def replace_partitions(rows: DataFrame, path: str, *keys: str) -> None:
+    """Write the partitions that ``rows`` has, in place of the table's own; the files of all other partitions stay.
+
+    The rows of a partition are brought together first, as in :func:`write_partitioned`. A table that isn't there yet is
+    made. A partition can be replaced by rows, not emptied.
+    """
+    writer = rows.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).parquet(path)
+
+
+def read_layouts(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
+    """Files of several layouts as one table of ``schema``, with the ``file`` that each row comes from.
+
+    Each path is read with the layout of its own files. Columns are matched by name whatever their case; a missing one is
+    null, a value that can't be converted is null, others that the schema doesn't have are left out.
+    """
+    wanted = T.StructType.fromDDL(schema)
+    parts = []
+    for path in paths:
+        rows = read_table(spark, path)
+        there = {name.lower(): name for name in rows.columns}
+        columns = [
+            (F.col(f"`{there[f.name.lower()]}`").try_cast(f.dataType) if f.name.lower() in there else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted
+        ]
+        parts.append(rows.select(*columns, F.col("_metadata.file_path").alias("file")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_by_category(rows: DataFrame, path: str) -> None:
     write_partitioned(rows, path, "product_category")
 
