@@ -31,6 +31,8 @@ from review_signals.llm.text_arrays import Texts, chunks
 UNKNOWN = "und"
 _SCALE = 1 << 20
 _DOCS_AT_ONCE = 256
+#: N-grams whose vectors are in memory at a time, beside the remembered ones.
+_GRAMS_AT_ONCE = 4096
 _CODE_POINTS = 0x110000
 
 
@@ -139,9 +141,12 @@ class Encoder:
         real = np.array([any(gram) for gram in as_points], bool)
         counts = np.bincount(codes_owner * max(1, len(grams)) + which, minlength=count * max(1, len(grams)))
         counts = counts.reshape(count, max(1, len(grams))).astype(np.float32)[:, : len(grams)] * real
-        if not len(grams):
-            return np.zeros((count, self.profile.dimensions), np.float32)
-        return counts @ self._gram_vectors(as_points).astype(np.float32)
+        # some n-grams at a time; the sums are whole numbers, so the order changes nothing
+        total = np.zeros((count, self.profile.dimensions), np.float32)
+        for low in range(0, len(grams), _GRAMS_AT_ONCE):
+            block = slice(low, low + _GRAMS_AT_ONCE)
+            total += counts[:, block] @ self._gram_vectors(as_points[block]).astype(np.float32)
+        return total
 
 
 def _distinct(values: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:

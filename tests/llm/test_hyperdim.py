@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
+from review_signals.llm import hyperdim
+from review_signals.llm.text_arrays import Texts
 from review_signals.llm.hyperdim import Encoder, Profile, learn, predict
 from review_signals.llm.queries import REGISTRY
 from review_signals.llm.text_arrays import as_texts
@@ -70,3 +72,16 @@ def test_prototypes_do_not_depend_on_the_layout(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one, many = learn(frame.coalesce(1)), learn(frame.repartition(7))
     assert all(np.array_equal(one[lang], many[lang]) for lang in one) and set(one) == set(many)
+
+
+def test_blocks_of_n_grams_change_nothing(monkeypatch):
+    """A text of many different letters: its n-grams are bound in blocks, to the same vector."""
+    generator = np.random.default_rng(3)
+    text = "".join(map(chr, generator.integers(0x4E00, 0x9FFF, 30_000)))
+    raw = np.frombuffer((text + "other").encode(), np.uint8)
+    texts = Texts(raw, np.array([0, len(text.encode()), len(raw)]))
+    results = []
+    for block in (500, 4096, 1 << 30):
+        monkeypatch.setattr(hyperdim, "_GRAMS_AT_ONCE", block)
+        results.append(np.concatenate([vectors for _, vectors in hyperdim.Encoder(hyperdim.Profile()).documents(texts)]))
+    assert results[0].any() and all(np.array_equal(result, results[0]) for result in results)
