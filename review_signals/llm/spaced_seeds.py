@@ -8,7 +8,8 @@ holds a hit, wherever its two substitutions are (a test goes through all of them
 
 The index of the benchmark is broadcast in blocks of at most ``block_rows`` rows, whose number is counted first: a
 larger benchmark means more blocks, each against all documents. Hits are reduced to one row per document, item and
-alignment before they are shuffled; no word of a document leaves its task but the aligned ones.
+alignment before they are shuffled; no word of a document leaves its task but the aligned ones. Documents are looked up
+in pieces of some words, so the work grows with the length of a text, not with its square.
 
 Defined cases: null and empty texts have no overlaps, nor have documents or items with fewer words than ``window``
 (such an item can't be told from common phrases). A null doc_id is kept. Repeated rows of a document give one result
@@ -31,6 +32,8 @@ class Seeds:
     window: int = 13
     min_equal: int = 11
     block_rows: int = 500_000
+    #: Places of a document that are looked up together, with the words around them.
+    piece: int = 128
 
     def __post_init__(self) -> None:
         if len({len(mask) for mask in self.masks}) != 1 or len(self.masks[0]) > self.window:
@@ -57,10 +60,6 @@ def _seed_hashes(words: str, seeds: Seeds) -> Column:
     return F.concat(*(under(number, mask) for number, mask in enumerate(seeds.masks)))
 
 
-def _places(words: str, seeds: Seeds) -> Column:
-    return F.size(words) - seeds.span + 1
-
-
 def index(benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:  # noqa: B008 - frozen
     """The items' hashes, each with its item, its place there, and the item's words for the comparison."""
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("item_words")).filter(F.size("item_words") >= seeds.window)
@@ -68,18 +67,47 @@ def index(benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:  # noqa: B
     return rows.select("seed", "item_id", F.expr(f"at % (size(item_words) - {seeds.span - 1})").alias("item_at"), "item_words").distinct()
 
 
+def _pieces(words: DataFrame, seeds: Seeds) -> DataFrame:
+    """The documents in pieces: ``piece`` places each, after ``ahead`` words before them, and as many words behind them as
+    a window with one of the places can reach. A piece is all that is copied for a place, however long its text."""
+    reach = seeds.window - 1
+    starts = F.sequence(F.lit(0), F.size("doc_words") - seeds.span, F.lit(seeds.piece))
+
+    def piece(start: Column) -> Column:
+        first = F.greatest(start - reach, F.lit(0))
+        return F.struct((start - first).alias("ahead"), F.slice("doc_words", first + 1, start - first + seeds.piece + seeds.span + reach).alias("doc_words"))
+
+    return words.select("doc_id", F.explode(F.transform(starts, piece)).alias("piece")).select("doc_id", "piece.ahead", "piece.doc_words")
+
+
+def _piece_hashes(seeds: Seeds) -> Column:
+    """Hashes of the places of a piece: place i under mask m is at m * piece + i; null beyond the end of the text."""
+    places = F.sequence(F.lit(0), F.lit(seeds.piece - 1))
+
+    def under(number: int, mask: str) -> Column:
+        steps = [step for step, bit in enumerate(mask) if bit == "1"]
+
+        def hashed(i: Column) -> Column:
+            here = F.xxhash64(F.lit(number), *(F.get(F.col("doc_words"), F.col("ahead") + i + step) for step in steps))
+            return F.when(F.col("ahead") + i + seeds.span <= F.size("doc_words"), here)
+
+        return F.transform(places, hashed)
+
+    return F.concat(*(under(number, mask) for number, mask in enumerate(seeds.masks)))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:  # noqa: B008 - frozen
     """One row per document and item that overlap: the equal words of the best window, and its share of the window."""
     known = staged(index(benchmark, seeds), "benchmark-seeds")
     blocks = max(1, -(-known.count() // seeds.block_rows))
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_hashes(F.col("text")).alias("doc_words")).filter(
         F.size("doc_words") >= seeds.window)
-    places = words.select("doc_id", "doc_words", F.posexplode(_seed_hashes("doc_words", seeds)).alias("doc_at", "seed"))
+    places = _pieces(words, seeds).select("doc_id", "doc_words", "ahead", F.posexplode(_piece_hashes(seeds)).alias("at", "seed"))
     hits = []
     for block in range(blocks):
         part = known.filter(F.pmod(F.xxhash64("seed", "item_id"), F.lit(blocks)) == block)
         found = places.join(bounded(part, 2 * seeds.block_rows), "seed")
-        place = F.expr(f"doc_at % (size(doc_words) - {seeds.span - 1})")
+        place = F.expr(f"ahead + at % {seeds.piece}")
         hits.append(found.withColumn("shift", place - F.col("item_at")))
     # what the alignment lays over each other: the item's words from `skipped` on and as many words of the document
     skipped = F.greatest(-F.col("shift"), F.lit(0))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 import random
 import re
 from itertools import combinations
@@ -89,3 +90,27 @@ def test_plan_has_no_python(spark):
 def test_whole_table(spark):
     read = lambda name, key: dict(spark.read.parquet(f"{SF_DIR}/{name}.parquet").select(key, "text").collect())
     assert found(REGISTRY["op3_spaced_seeds"](spark, SF_DIR)) == brute_force(read("documents", "doc_id"), read("benchmark", "item_id"))
+
+
+def test_pieces_change_nothing(spark, docs):
+    generator = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    items = [(f"b{k}", " ".join(generator.choices(words, k=30))) for k in range(12)]
+    texts = []
+    for i in range(30):
+        own = generator.choices(words, k=generator.randrange(60))
+        passage = generator.choice(items)[1].split()[generator.randrange(10):]
+        texts.append((i, " ".join([*own, *("new" if generator.random() < 0.1 else w for w in passage), *own[::-1]])))
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    results = [sorted(map(tuple, overlaps(docs(texts), benchmark, Seeds(piece=piece)).collect())) for piece in (1, 5, 128, 4096)]
+    assert results[0] and all(result == results[0] for result in results)
+
+
+def test_long_texts_take_time_in_proportion(spark, docs):
+    """320,000 words with a passage at each end."""
+    passage = [f"p{i}" for i in range(20)]
+    text = " ".join([*passage, *(f"w{i % 5000}" for i in range(320_000)), *passage])
+    benchmark = spark.createDataFrame([("b", " ".join(passage))], "item_id string, text string")
+    started = time.perf_counter()
+    (row,) = overlaps(docs([(1, text), (2, None)]), benchmark).collect()
+    assert (row.doc_id, row.equal_words) == (1, 13) and time.perf_counter() - started < 60
