@@ -152,7 +152,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, column: str = "shi
     """The whole sets of some classes, from the text of one document of each (``nodes``: node, doc_id, text_key), or only
     their ``cells``.
 
-    Only rows that repeat an id and its text come more than once."""
+    Rows that repeat an id and its text give one row."""
     wanted = bounded(nodes.select("node", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")), join.max_ids)
     rows = _keyed(docs)
     rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key")))
@@ -167,7 +167,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, join: Join, column: str = "shi
             sizes = pa.array(np.diff(bounds).astype(np.int64))
             yield pa.RecordBatch.from_arrays([part.column("node"), sizes, held], names=["node", "size", column])
 
-    return rows.select("node", "text").mapInArrow(task, f"node long, size long, {column} binary")
+    return rows.select("node", "text").mapInArrow(task, f"node long, size long, {column} binary").dropDuplicates(["node"])
 
 
 def _cells(values: np.ndarray) -> bytes:
@@ -418,8 +418,8 @@ def rooted_rows(docs: DataFrame, join: Join = Join()) -> DataFrame:  # noqa: B00
     chosen = chosen.select(F.col("node").alias("__node"), F.col("first.doc_id").alias("__doc"), F.col("first.text_key").alias("__key"))
     mine = (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
     representatives = measured.join(bounded(chosen, join.max_ids), mine, "left_semi")
-    classes = staged(representatives.drop("region").dropDuplicates(["node"]), "class-measures")
-    roots = staged(link_classes(docs, classes, representatives.select("node", "n", "region"), join), "components")
+    classes = staged(representatives.dropDuplicates(["node"]), "class-measures")
+    roots = staged(link_classes(docs, classes.drop("region"), classes.select("node", "n", "region"), join), "components")
 
     rows = measured.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return staged(rows.select("doc_id", "text_key", "n", "root"), "rooted")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import random
 import re
 from collections import Counter
@@ -7,6 +9,7 @@ from collections import Counter
 import pytest
 
 from review_signals.llm.components import components
+from review_signals.llm import jaccard_join
 from review_signals.llm.jaccard_join import Join, cost_boundary, similar_components
 from review_signals.llm.queries import REGISTRY
 
@@ -107,3 +110,20 @@ def test_components_of_chains_and_stars(spark):
     links = [pair if generator.random() < 0.5 else pair[::-1] for pair in links]
     roots = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert roots == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
+
+
+def test_repeated_rows_are_one_node(spark, monkeypatch):
+    """Rows without an id and with one text, and rows that repeat an id, bring one row each to every later step."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(words))] * 500 + [(7, " ".join([*words[:57], "x"]))] * 500 + [(8, " ".join([*words[:58], "y"]))]
+    verified, plain = [], jaccard_join.verify
+
+    def counting(pairs, sets, join):
+        joined = pairs.join(sets.select(F.col("node").alias("a")), "a").join(sets.select(F.col("node").alias("b")), "b")
+        verified.append(joined.count())
+        return plain(pairs, sets, join)
+
+    monkeypatch.setattr(jaccard_join, "verify", counting)
+    found = jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert len(found) == 1001 and {r.component_id for r in found} == {7}
+    assert sum(verified) <= 6
