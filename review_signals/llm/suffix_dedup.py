@@ -212,12 +212,15 @@ def deduplicate(docs: DataFrame, repeats: Repeats = Repeats()) -> DataFrame:  #
     long_enough = F.octet_length("text") >= repeats.length
     copies = staged(rows.filter(long_enough).groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("kept_id")).filter(
         "n > 1").select("node", "kept_id"), "copied-texts")
-    copies = bounded(copies, repeats.max_broadcast)
-    classes = rows.filter(long_enough).join(copies, "node", "left").filter(
-        F.col("kept_id").isNull() | (F.col("doc_id") == F.col("kept_id"))).select("node", "text")
+    copies = bounded(copies.withColumn("copied", F.lit(True)), repeats.max_broadcast)
+    marked = rows.filter(long_enough).join(copies, "node", "left")
+    # one row of each class, whether its ids differ, repeat or are null
+    same_id = F.col("copied") & F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    once = staged(marked.filter(same_id).select("node", "text").dropDuplicates(["node"]), "copied-once")
+    classes = marked.filter(F.col("copied").isNull()).select("node", "text").unionByName(once)
     spans = staged(ranges(repeated_windows(classes, repeats), repeats), "repeated-spans")
     joined = rows.join(bounded(spans, repeats.max_broadcast, sized="spans"), "node", "left").join(
-        copies.select("node", F.lit(True).alias("copied")), "node", "left")
+        copies.select("node", "copied"), "node", "left")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches, "text"):

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from review_signals.llm import suffix_dedup
 from review_signals.llm.deep_shallow import equal_suffixes
 from review_signals.llm.queries import REGISTRY
 from review_signals.llm.suffix_dedup import Repeats, deduplicate
@@ -87,3 +88,30 @@ def test_deep_shallow_sort_finds_equal_suffixes():
         for i, j in enumerate(leader.tolist()):
             assert keys[i] == keys[j]
         assert len(set(leader.tolist())) == len(set(keys))
+
+
+def test_repeated_rows_are_sorted_once(spark, monkeypatch):
+    """The contexts that are sorted don't grow with the copies of a row, whether the id is null or repeated."""
+    generator, sorted_rows, plain = random.Random(8), [], suffix_dedup.sort_contexts
+    prose = lambda n: "".join(generator.choices("abcdefgh ", k=n))
+    shared, first, second = prose(400), prose(900), prose(900)
+    texts = [(None, first + shared), (7, second + shared), (8, prose(500) + shared + prose(300))]
+
+    def counting(contexts, repeats):
+        sorted_rows.append(contexts.count())
+        return plain(contexts, repeats)
+
+    monkeypatch.setattr(suffix_dedup, "sort_contexts", counting)
+    for copies in (2, 300):
+        rows = [*texts[:2] * copies, texts[2]]
+        got = found(deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+        assert got == sorted(brute_force([t for _, t in rows]))
+    assert sorted_rows[0] == sorted_rows[1]
+
+
+def test_very_long_text(docs):
+    generator = random.Random(9)
+    long = "".join(generator.choices("abcdefgh ", k=300_000))
+    texts = [long + long[1000:1300], long[5000:5250], "z" * 150_000]
+    got = found(deduplicate(docs(enumerate(texts))))
+    assert got == sorted(brute_force(texts))
