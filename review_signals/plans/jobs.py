@@ -24,6 +24,7 @@ from review_signals.operators import model as M
 from review_signals.operators import monitor as W
 from review_signals.operators import profile as P
 from review_signals.operators import split as S
+from review_signals.operators import tallies as B
 from review_signals.plans.report import training_report
 from review_signals.schemas import MESSAGE_COLUMNS
 from review_signals.sources import messages as J
@@ -98,6 +99,23 @@ def build_lookups(spark: SparkSession, train: str, reviewers_out: str, products_
             write_plain(history, path)
 
 
+def update_lookups(spark: SparkSession, reviews: str, base: str, batch: int) -> dict[str, str]:
+    """Take a batch of new reviews into the sums kept below ``base``, and write both lookups as of this batch.
+
+    Only the new reviews are read, and only the keys they name are worked out again. Batches are numbered in the order in
+    which they come; the newest one can be taken in again. Returns the places of the lookups.
+    """
+    rows, written = read_table(spark, reviews), {}
+    for name, key in (("reviewers", "customer_id"), ("products", "product_id")):
+        B.add_batch(rows, f"{base}/{name}/batches", key, batch)
+        batches = B.read_batches(spark, f"{base}/{name}/batches")
+        earlier = batches.where(F.col("batch") < batch).agg(F.max("batch")).first()[0]
+        lookup = None if earlier is None else read_table(spark, f"{base}/{name}/lookup-{earlier}")
+        written[name] = f"{base}/{name}/lookup-{batch}"
+        write_plain(B.refreshed(lookup, batches, key, batch), written[name])
+    return written
+
+
 def build_features(spark: SparkSession, labeled: str, out: str, reviewers: str | None = None,
                    products: str | None = None) -> DataFrame:
     """Labelled reviews to the feature table. A saved lookup gives its history; a missing one is made of the rows.

@@ -1,0 +1,51 @@
+"""Partitions that are replaced, files of several layouts, and counts from kept sketches."""
+
+import os
+
+from helpers import reviews
+
+from review_signals.operators import profile as P
+from review_signals.sources.tables import read_layouts, read_table, replace_partitions, write_by_category
+
+
+def files(path):
+    return {os.path.join(folder, name) for folder, _, names in os.walk(path) for name in names if name.startswith("part-")}
+
+
+def test_only_the_given_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [{"product_category": c, "review_id": f"{c}{i}"} for c in ("Books", "Music") for i in range(5)]
+    write_by_category(reviews(spark, rows), path)
+    before = files(path)
+    replace_partitions(reviews(spark, [{"product_category": "Music", "review_id": "new"}, {"product_category": "Toys", "review_id": "toy"}]),
+                       path, "product_category")
+    after = files(path)
+    assert {f for f in before if "Books" in f} == {f for f in after if "Books" in f} and not {f for f in before if "Music" in f} & after
+    found = {(r.product_category, r.review_id) for r in read_table(spark, path).collect()}
+    assert found == {*(("Books", f"Books{i}") for i in range(5)), ("Music", "new"), ("Toys", "toy")}
+
+
+def test_layouts_are_reconciled(spark, tmp_path):
+    """Names in another case, other types, a missing and an additional column, values that can't be converted."""
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    spark.createDataFrame([("1", "x", 9), ("no number", None, 9)], "ID string, name string, other int").coalesce(1).write.parquet(old)
+    spark.createDataFrame([(3, 2.7)], "id long, stars double").coalesce(1).write.parquet(new)
+    rows = read_layouts(spark, "id bigint, name string, stars int", old, new)
+    assert [f.simpleString() for f in rows.schema] == ["id:bigint", "name:string", "stars:int", "file:string"]
+    assert sorted(map(str, rows.drop("file").collect())) == sorted(
+        ["Row(id=1, name='x', stars=None)", "Row(id=None, name=None, stars=None)", "Row(id=3, name=None, stars=2)"])
+    profile = {r.file.split("/")[-2]: (r.row_count, r.id_missing, r.stars_missing) for r in P.file_profile(rows, "id", "stars").collect()}
+    assert profile == {"old": (2, 1, 2), "new": (1, 0, 0)}
+
+
+def test_sketches_add_up(spark):
+    """Counts of all days from the days' sketches, within two percent; a null is no reviewer."""
+    rows = [{"customer_id": f"c{i % 3000}" if i % 7 else None, "product_id": f"p{i % 40}", "product_category": "Books" if i % 4 else "Music"}
+            for i in range(9000)]
+    frame = reviews(spark, rows)
+    kept = P.entity_sketches(frame, "product_category", "review_date")
+    merged = P.merged_entities(kept).first()
+    exact = P.entity_counts(frame).first()
+    assert merged.reviews == 9000 and merged.products == exact.products == 40
+    assert abs(merged.reviewers - exact.reviewers) <= 0.02 * exact.reviewers
+    assert {r.product_category for r in P.merged_entities(kept, "product_category").collect()} == {"Books", "Music"}

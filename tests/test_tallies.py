@@ -7,6 +7,7 @@ from helpers import as_dict, day, reviews
 
 from review_signals.operators import history as H
 from review_signals.operators import tallies as B
+from review_signals.plans.jobs import update_lookups
 from review_signals.sources.tables import read_table
 
 REVIEWER = ("rh_total_reviews", "rh_avg_rating", "rh_rating_stddev", "rh_pct_verified", "rh_days_active", "rh_max_per_day")
@@ -86,3 +87,16 @@ def test_empty_batch(spark, tmp_path):
     before = B.history(B.read_batches(spark, store), "customer_id")
     B.add_batch(reviews(spark, [{}]).limit(0), store, "customer_id", 1)
     assert as_dict(B.refreshed(before, read_table(spark, store), "customer_id", 1), "customer_id", "rh_total_reviews") == {"a": 1}
+
+
+def test_job_takes_batches_in(spark, tmp_path):
+    base, seen, written = str(tmp_path / "base"), None, {}
+    for number, batch in enumerate(batches(spark, seed=2)):
+        path = str(tmp_path / f"new{number}")
+        batch.write.parquet(path)
+        seen = batch if seen is None else seen.unionByName(batch)
+        for _ in range(1 + number % 2):  # the second one is taken in twice
+            written = update_lookups(spark, path, base, number)
+    for name, key in (("reviewers", "customer_id"), ("products", "product_id")):
+        full, columns = KEYS[key]
+        assert as_dict(spark.read.parquet(written[name]), key, *columns) == as_dict(full(seen), key, *columns)
