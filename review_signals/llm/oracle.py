@@ -103,7 +103,7 @@ select doc_id, {", ".join(COUNTS)}, base_failed, broken_rule, not base_failed an
 
 
 def _spaced_seeds(window: int = 13, least: int = 11) -> str:
-    """Counts equal words per alignment, then slides the window where there are enough of them."""
+    """Counts equal words per alignment, then slides the window where there are enough of them; shorter items are sought whole."""
     words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
     return f"""
 with d as (select doc_id, {words} as w from documents),
@@ -120,7 +120,11 @@ slid as (
 select doc_id, item_id, max(c) as equal_words, max(c) / {window}.0::double as similarity
 from slid where c >= {least}
   and least(bn, dn - shift) - greatest(1, 1 - shift) + 1 >= {window}
-group by doc_id, item_id"""
+group by doc_id, item_id
+union all
+select distinct doc_id, item_id, len(b.w)::bigint, 1.0::double
+from d join b on len(b.w) between 1 and {window - 1}
+  and contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(b.w, ' ') || ' ')"""
 
 
 def _line_windows() -> str:

@@ -5,8 +5,11 @@ import random
 import re
 from itertools import combinations
 
+import duckdb
+
+from review_signals.llm.oracle import ORACLE
 from review_signals.llm.queries import REGISTRY
-from review_signals.llm.spaced_seeds import Seeds, overlaps
+from review_signals.llm.spaced_seeds import Seeds, index, overlaps
 
 from .conftest import SF_DIR
 
@@ -16,10 +19,12 @@ def words_of(text):
 
 
 def brute_force(texts, items, window=13, least=11):
-    """(doc, item) -> most equal words of any aligned window, where there are enough."""
+    """(doc, item) -> most equal words of any aligned window, where there are enough; all of them for a shorter item."""
     result, places = {}, {}
     for item, text in items.items():
         words = words_of(text)
+        if 0 < len(words) < window:
+            result |= {(doc, item): len(words) for doc, t in texts.items() if f" {' '.join(words)} " in f" {' '.join(words_of(t))} "}
         for at, word in enumerate(words if len(words) >= window else ()):
             places.setdefault(word, []).append((item, at, len(words)))
     for doc, text in texts.items():
@@ -57,7 +62,7 @@ def test_equals_brute_force(spark, docs):
     generator = random.Random(8)
     items = {i: " ".join(make(generator, n)) for i, n in enumerate([3, 12, 13, 14, 20, 40, 40])}
     items[7] = items[6]
-    items |= {8: None, 9: ""}
+    items |= {8: None, 9: "", 10: "w7"}
     texts = {}
     for doc in range(150):
         passage = (items[generator.choice([1, 2, 3, 4, 5, 6])] or "").split()
@@ -65,10 +70,10 @@ def test_equals_brute_force(spark, docs):
             passage[generator.randrange(len(passage))] = "changed"
         passage = passage[generator.randrange(4):]
         texts[doc] = ", ".join(make(generator, generator.randrange(30)) + passage + make(generator, generator.randrange(30))).upper()
-    texts |= {900: None, 901: "", 902: items[4], 903: "w1 " * 20_000 + (items[5] or "")}
+    texts |= {900: None, 901: "", 902: items[4], 904: items[0], 905: "w7", 903: "w1 " * 20_000 + (items[5] or "")}
     benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
     expected = brute_force(texts, items)
-    assert expected
+    assert {(904, 0), (905, 10), (903, 5)} <= set(expected)
     assert found(overlaps(docs(texts.items()), benchmark)) == expected
     assert found(overlaps(docs(texts.items()), benchmark, Seeds(block_rows=50))) == expected
 
@@ -114,3 +119,24 @@ def test_long_texts_take_time_in_proportion(spark, docs):
     started = time.perf_counter()
     (row,) = overlaps(docs([(1, text), (2, None)]), benchmark).collect()
     assert (row.doc_id, row.equal_words) == (1, 13) and time.perf_counter() - started < 60
+
+
+def test_items_far_apart_in_length_need_little_room(spark):
+    """An item of 30,000 words: a row of the index holds the words around its place only."""
+    items = spark.createDataFrame([(1, [i % 977 for i in range(30_000)]), (2, list(range(13)))], "key long, words array<long>")
+    seeds = Seeds()
+    rows = index(items, seeds)
+    assert rows.selectExpr("max(size(item_words))").first()[0] <= seeds.span + 2 * seeds.reach
+
+
+def test_sql_finds_short_items(spark, docs, tmp_path):
+    texts = {1: "one two three four", 2: "One, two!", 3: "two one", 4: "a b " * 20, 5: None, 6: "three"}
+    items = {1: "one two", 2: "THREE", 3: "a b " * 9, 4: "", 5: None, 6: "one two three four five"}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    connection = duckdb.connect()
+    for name, frame in (("documents", docs(texts.items())), ("benchmark", benchmark)):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        connection.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}/*.parquet')")
+    rows = connection.execute(ORACLE["op3_spaced_seeds"]).fetchall()
+    assert sorted(rows) == sorted(map(tuple, overlaps(docs(texts.items()), benchmark).collect()))
+    assert {(d, i): n for d, i, n, _ in rows} == brute_force(texts, items) == {(1, 1): 2, (2, 1): 2, (1, 2): 1, (6, 2): 1, (4, 3): 13}
