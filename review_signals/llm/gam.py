@@ -217,7 +217,9 @@ def learn(docs: DataFrame, labels: DataFrame, boosting: Boosting = Boosting()) -
                 names=["doc_id", "quality", "features"])
 
     rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("quality"), "text").mapInArrow(
-        task, "doc_id long, quality long, features array<double>").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+        task, "doc_id long, quality long, features array<double>")
+    # of rows that share an id the one with the smallest features, so that the model doesn't depend on their order
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("features").alias("features")).orderBy("doc_id").collect()
     table = np.array([row["features"] for row in rows], float).reshape(-1, len(FEATURES))
     return fit(table, np.array([row["quality"] for row in rows], float), boosting)
 

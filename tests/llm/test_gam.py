@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -72,3 +73,91 @@ def test_null_ids_repeated_rows_and_empty_tables(spark, docs):
     rows = score(frame, learn(frame, spark.createDataFrame([], LABELS))).collect()
     assert [r.score for r in rows] == [0.5] * 4 and all(r.held_out for r in rows if r.doc_id is None)
     assert score(docs([]), learn(docs([]), spark.createDataFrame([], LABELS))).collect() == []
+
+
+def test_rows_that_share_an_id_give_one_model_in_any_order(spark, docs):
+    texts = [(i, f"good words number {i} here and there.\n" * (1 + i % 7) if i % 2 else "BAD### " * (i % 9 + 1)) for i in range(120)]
+    texts += [(i, "other " * (i % 11)) for i in range(0, 120, 3)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], LABELS)
+    one, other = learn(docs(texts, parts=1), labels), learn(docs(texts[::-1], parts=5), labels)
+    assert all(np.array_equal(a, b) for a, b in zip(one.tables + one.pair_tables, other.tables + other.pair_tables, strict=True))
+
+
+def plain_fit(rows, labels, boosting):
+    """The same boosting with loops over rows, bins and all cuts."""
+    width, n = len(rows[0]), len(rows)
+
+    def cuts(j, bins):
+        return sorted(set(np.quantile([row[j] for row in rows], [k / bins for k in range(1, bins)]).tolist()))
+
+    def bin_of(x, cut):
+        return sum(c <= x for c in cut)
+
+    fine, coarse = [cuts(j, boosting.bins) for j in range(width)], [cuts(j, boosting.pair_bins) for j in range(width)]
+    share = (sum(labels) + 0.5) / (n + 1)
+    total = [math.log(share / (1 - share))] * n
+    tables = [[0.0] * (len(cut) + 1) for cut in fine]
+
+    def slopes():
+        chance = [1 / (1 + math.exp(-t)) for t in total]
+        return [y - p for y, p in zip(labels, chance, strict=True)], [p * (1 - p) for p in chance]
+
+    def value(members, g, w):
+        return sum(g[i] for i in members) / (sum(w[i] for i in members) + boosting.smoothing)
+
+    def gain(members, g, w):
+        return sum(g[i] for i in members) ** 2 / (sum(w[i] for i in members) + boosting.smoothing)
+
+    for _ in range(boosting.rounds):
+        for j in range(width):
+            g, w = slopes()
+            place = [bin_of(row[j], fine[j]) for row in rows]
+            inside = lambda low, high, place=place: [i for i in range(n) if low <= place[i] < high]
+            leaves = [(0, len(tables[j]))]
+            while len(leaves) < boosting.leaves:
+                options = []
+                for k, (low, high) in enumerate(leaves):
+                    for at in range(low + 1, high):
+                        options.append((gain(inside(low, at), g, w) + gain(inside(at, high), g, w) - gain(inside(low, high), g, w), k, at))
+                if not options or max(options)[0] <= 1e-9:
+                    break
+                _, k, at = max(options)
+                low, high = leaves[k]
+                leaves[k:k + 1] = [(low, at), (at, high)]
+            for low, high in leaves:
+                step = boosting.rate * value(inside(low, high), g, w)
+                for b in range(low, high):
+                    tables[j][b] += step
+                for i in inside(low, high):
+                    total[i] += step
+
+    def quarters(a, b):
+        g, w = slopes()
+        everything, best = gain(range(n), g, w), None
+        for x in range(1, len(coarse[a]) + 1):
+            for y in range(1, len(coarse[b]) + 1):
+                parts = {}
+                for i, row in enumerate(rows):
+                    parts.setdefault((bin_of(row[a], coarse[a]) < x, bin_of(row[b], coarse[b]) < y), []).append(i)
+                found = sum(gain(members, g, w) for members in parts.values()) - everything
+                if best is None or found > best[0]:
+                    best = found, {i: value(members, g, w) for members in parts.values() for i in members}
+        return best
+
+    pairs = sorted(((quarters(a, b)[0], a, b) for a in range(width) for b in range(a + 1, width)), reverse=True)[: boosting.pairs]
+    for _ in range(boosting.pair_rounds):
+        for _, a, b in pairs:
+            for i, step in quarters(a, b)[1].items():
+                total[i] += boosting.rate * step
+    return tables, [(a, b) for _, a, b in pairs], [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_fit_equals_plain_boosting():
+    generator = np.random.default_rng(7)
+    rows = np.column_stack([generator.random(90), generator.integers(0, 4, 90), generator.normal(size=90)])
+    labels = ((rows[:, 0] > 0.4) ^ (rows[:, 2] > 0) | (rows[:, 1] == 3)).astype(float)
+    boosting = Boosting(bins=6, pair_bins=4, rounds=3, pair_rounds=3, pairs=2)
+    tables, pairs, scores = plain_fit(rows.tolist(), labels.tolist(), boosting)
+    model = fit(rows, labels, boosting)
+    assert model.pairs == pairs and np.allclose(model.score(rows), scores)
+    assert all(np.allclose(a, b) for a, b in zip(model.tables, tables, strict=True))
