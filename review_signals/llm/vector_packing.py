@@ -1,17 +1,19 @@
 """Packing of tokenised documents into training sequences under several limits at once.
 
-A sequence has room for ``max_tokens`` tokens, ``max_segments`` pieces and ``max_loss`` loss-bearing tokens (all but the
-first of a document, which nothing predicts). Each task fills one sequence after the other from a pool of waiting
+A sequence has room for ``max_tokens`` tokens, ``max_segments`` pieces and ``max_loss`` loss-bearing tokens: those behind a
+document's prompt, whose length in tokens an optional column gives; without a prompt all but the first token, which
+nothing predicts. Each task fills one sequence after the other from a pool of waiting
 pieces by the dot-product heuristic of vector bin packing: of the pieces that fit, the one whose demand has the largest
-dot product with the room that is left, each limit in its own units. When nothing fits whole, a piece is cut to the gap,
-unless the gap is under ``min_cut`` tokens. The last pieces of a task go into sequences whose sizes are powers of two,
+dot product with the room that is left, each limit in its own units. When nothing fits whole, the longest piece is cut to
+what all limits leave, unless that is under ``min_cut`` tokens. The last pieces of a task go into sequences whose sizes are powers of two,
 so that nothing is padded there.
 
 Documents stay in the task that reads them: nothing is shuffled, a task holds ``pool`` pieces of at most ``max_tokens``
 tokens, and a sequence id is the task's number and a counter.
 
 Defined cases: a null or empty text has one token, the end id. A null doc_id is kept. Repeated rows are packed once
-each. A document of any length is cut into full sequences and a rest. An empty table gives no pieces. Columns other
+each. A document of any length is cut into pieces that the limits allow. A null or negative prompt length is 0, one
+beyond the document leaves it without loss-bearing tokens. An empty table gives no pieces. Columns other
 than the id and the text are not read.
 """
 
@@ -46,8 +48,8 @@ class Limits:
     end_id: int = 2
 
     def __post_init__(self) -> None:
-        if min(self.max_tokens, self.max_segments, self.max_loss, self.pool) < 1 or self.max_loss < self.max_tokens - 1:
-            raise ValueError("limits must be positive, and a full sequence of one document must be within max_loss")
+        if min(self.max_tokens, self.max_segments, self.max_loss, self.pool) < 1:
+            raise ValueError("limits must be positive")
 
 
 @dataclass
@@ -56,15 +58,25 @@ class Piece:
     start: int
     ids: np.ndarray
     doc_tokens: int
+    #: The document's first tokens, which bear no loss.
+    prompt: int = 1
 
     @property
     def loss(self) -> int:
-        return len(self.ids) - (self.start == 0)
+        return len(self.ids) - self._free
+
+    @property
+    def _free(self) -> int:
+        return min(max(self.prompt - self.start, 0), len(self.ids))
+
+    def fitting(self, tokens: int, loss: int) -> int:
+        """How many of its first tokens fit into that room."""
+        return min(len(self.ids), tokens, self._free + loss)
 
     def cut(self, size: int) -> tuple[Piece, Piece]:
         return (
-            Piece(self.doc_id, self.start, self.ids[:size], self.doc_tokens),
-            Piece(self.doc_id, self.start + size, self.ids[size:], self.doc_tokens),
+            Piece(self.doc_id, self.start, self.ids[:size], self.doc_tokens, self.prompt),
+            Piece(self.doc_id, self.start + size, self.ids[size:], self.doc_tokens, self.prompt),
         )
 
 
@@ -76,12 +88,18 @@ class Packer:
     emit: Callable[[list[Piece]], None]
     _waiting: list[Piece] = field(default_factory=list)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        rest = Piece(doc_id, 0, ids, len(ids))
-        while len(rest.ids) > self.limits.max_tokens:
-            full, rest = rest.cut(self.limits.max_tokens)
-            self.emit([full])
-        self._waiting.append(rest)
+    def add(self, doc_id: int | None, ids: np.ndarray, prompt: int = 0) -> None:
+        rest = Piece(doc_id, 0, ids, len(ids), max(prompt, 1))
+        while (size := rest.fitting(self.limits.max_tokens, self.limits.max_loss)) < len(rest.ids):
+            part, rest = rest.cut(size)
+            if size == self.limits.max_tokens:
+                self.emit([part])
+            else:  # full of loss-bearing tokens, with room for prompts of others
+                self._wait(part)
+        self._wait(rest)
+
+    def _wait(self, piece: Piece) -> None:
+        self._waiting.append(piece)
         if len(self._waiting) >= self.limits.pool:
             self._fill(keep=self.limits.pool // 2)
 
@@ -109,14 +127,16 @@ class Packer:
                 alive[best] = False
                 left -= 1
             gap = int(room[0])
-            if left and room[1] > 0 and gap >= limits.min_cut and room[2] >= gap:
+            if left and room[1] > 0 and gap >= limits.min_cut:
                 best = int(np.where(alive, demand[:, 0], -1).argmax())
-                head, tail = pieces[best].cut(gap)
-                chosen.append(head)
-                pieces[best] = tail
-                demand[best] = len(tail.ids), 1, tail.loss
-                weighted[best] = demand[best] / (scale * scale)
-                gap = 0
+                size = pieces[best].fitting(gap, int(room[2]))
+                if size >= limits.min_cut:
+                    head, tail = pieces[best].cut(size)
+                    chosen.append(head)
+                    pieces[best] = tail
+                    demand[best] = len(tail.ids), 1, tail.loss
+                    weighted[best] = demand[best] / (scale * scale)
+                    gap -= size
             if keep or left or not gap:
                 self.emit(chosen)
             else:
@@ -141,8 +161,9 @@ class Packer:
             self.emit(chosen)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits()) -> DataFrame:  # noqa: B008 - frozen
-    """One row per piece: its document and place there, its sequence and place there, and a digest of its ids."""
+def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(), prompt: str | None = None) -> DataFrame:  # noqa: B008 - frozen
+    """One row per piece: its document and place there, its sequence and place there, and a digest of its ids. ``prompt`` names
+    a column with the number of a document's first tokens that bear no loss."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence = TaskContext.get().partitionId() << 32
@@ -165,11 +186,13 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits()) -> Dat
 
         packer, words, end = Packer(limits, emit), encoder(tokenizer_path), np.array([limits.end_id], np.uint32)
         for part, texts in chunks(batches, "text", TOKENISED_BYTES):
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), words.encode(texts), strict=True):
-                packer.add(doc_id, np.concatenate([ids, end]).astype("<u4"))
+            columns = part.column("doc_id").to_pylist(), part.column("prompt").to_pylist()
+            for doc_id, length, ids in zip(*columns, words.encode(texts), strict=True):
+                packer.add(doc_id, np.concatenate([ids, end]).astype("<u4"), length)
             if len(rows) >= _ROWS_OUT:
                 yield ready()
         packer.finish()
         yield ready()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, SCHEMA)
+    length = F.coalesce(F.col(prompt).cast("long"), F.lit(0)) if prompt else F.lit(0).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), length.alias("prompt"), "text").mapInArrow(task, SCHEMA)
