@@ -19,6 +19,9 @@ MAX_BROADCAST_IDS = 1_000_000
 #: Near copies share at least 0.8 of their shingles of five words; other settings than those of op10's query.
 NEAR_COPIES = jaccard_join.Join(percent=80, words=5)
 
+#: A document leaks an item if that many of its words are found: shorter items are phrases that clean documents hold by chance.
+LEAK_WORDS = 8
+
 #: The packing has no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
@@ -60,9 +63,11 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Documents with a passage of the benchmark go, or with a whole item of at least ``LEAK_WORDS`` words. Repeated rows and null
+    ids are judged by their text, a long text is searched whole, a null or empty one stays."""
     row = F.xxhash64("doc_id", "text")
     leaks = spaced_seeds.overlaps(docs.withColumn("doc_id", row), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = leaks.filter(F.col("equal_words") >= LEAK_WORDS)
     leaks = bounded(staged(leaks.select(F.col("doc_id").alias("__row")).distinct(), "leaks"), MAX_BROADCAST_IDS)
     return docs.join(leaks, row == F.col("__row"), "left_anti")
 
