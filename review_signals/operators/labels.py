@@ -11,6 +11,7 @@ from review_signals.operators.rolling import day_number, reviewer_days
 from review_signals.operators.skew import attach
 
 HEURISTICS = ("h1_low_helpful", "h2_burst_activity", "h3_extreme_bias")
+FLAGS = {"h1": HEURISTICS[0], "h2": HEURISTICS[1], "h3": HEURISTICS[2], "any": "is_likely_fraud"}
 
 
 def low_helpful(rules: LabelRules = LabelRules()) -> Column:
@@ -67,12 +68,17 @@ def label(reviews: DataFrame, rules: LabelRules = LabelRules(), skew: SkewRule =
 
 def heuristic_counts(labeled: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
     """Positives per heuristic, their rates and whether the labelling is usable; one row, one pass."""
-    flags = {"h1": HEURISTICS[0], "h2": HEURISTICS[1], "h3": HEURISTICS[2], "any": "is_likely_fraud"}
-    counted = labeled.agg(
-        F.count("*").alias("reviews"),
-        *[F.coalesce(F.sum(as_int(F.col(c))), F.lit(0)).alias(f"{n}_count") for n, c in flags.items()],
-    )
-    rates = {f"{n}_rate": share(F.col(f"{n}_count"), F.col("reviews")) for n in flags}
+    return heuristic_rates(labeled.agg(*heuristic_sums()), rules)
+
+
+def heuristic_sums() -> list[Column]:
+    """The aggregates behind :func:`heuristic_counts`, for a pass over labelled rows or for a write that counts them."""
+    sums = [F.coalesce(F.sum(as_int(F.col(c))), F.lit(0)).alias(f"{n}_count") for n, c in FLAGS.items()]
+    return [F.count(F.lit(1)).alias("reviews"), *sums]
+
+
+def heuristic_rates(counted: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
+    rates = {f"{n}_rate": share(F.col(f"{n}_count"), F.col("reviews")) for n in FLAGS}
     in_band = F.col("any_rate").between(rules.min_positive_rate, rules.max_positive_rate)
     return counted.withColumns(rates).withColumn("in_band", in_band)
 

@@ -31,14 +31,16 @@ def entity_split(rows: DataFrame, key: str = "customer_id", rule: SplitRule = Sp
 
 
 def split_balance(labeled: DataFrame, key: str = "customer_id", rule: SplitRule = SplitRule()) -> DataFrame:
-    """Rows, share of all rows and positive rate of both sides, in one pass.
+    """Rows, share of all rows and positive rate of both sides, in one pass."""
+    return balance(with_split(labeled, key, rule).groupBy("split").agg(*side_sums()))
 
-    The window runs over the two result rows only.
-    """
-    counted = with_split(labeled, key, rule).groupBy("split").agg(
-        F.count("*").alias("reviews"),
-        F.sum(as_int(F.col("is_likely_fraud"))).alias("positives"),
-    )
+
+def side_sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("reviews"), F.sum(as_int(F.col("is_likely_fraud"))).alias("positives")]
+
+
+def balance(counted: DataFrame) -> DataFrame:
+    """Shares and rates from the sums of each side; the window runs over the two result rows only."""
     everything = F.sum("reviews").over(Window.partitionBy())
     return counted.select(
         "split",

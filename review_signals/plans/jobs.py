@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,9 +47,14 @@ def inspect(spark: SparkSession, raw: str) -> dict[str, DataFrame]:
 
 def build_curated(spark: SparkSession, raw: str, out: str,
                   categories: Sequence[str] = C.DEFAULT_CATEGORIES) -> DataFrame:
-    """Raw files to the curated table; returns the rows per category of what was written."""
-    write_by_category(C.curate(read_table(spark, raw), categories), out)
-    return P.category_counts(read_table(spark, out))
+    """Raw files to the curated table; returns the rows per category of what was written, counted in the write."""
+    seen = Observation()
+    # names of their own, as a category may be called anything
+    cells = [F.count(F.when(F.col("product_category") == c, 1)).alias(f"n{i}") for i, c in enumerate(categories)]
+    write_by_category(C.curate(read_table(spark, raw), categories), out, (seen, cells))
+    rows = [(c, seen.get[f"n{i}"]) for i, c in enumerate(categories)]
+    counted = spark.createDataFrame(rows, "product_category string, reviews bigint").where("reviews > 0")
+    return counted.distinct().orderBy(F.desc("reviews"), "product_category")
 
 
 def profile_curated(spark: SparkSession, curated: str,
@@ -67,18 +72,26 @@ def profile_curated(spark: SparkSession, curated: str,
 
 
 def build_labels(spark: SparkSession, curated: str, out: str, rules: LabelRules = LabelRules()) -> DataFrame:
-    """Curated to labelled reviews; returns positives per heuristic and whether the rate is in its band."""
-    write_by_category(L.label(read_table(spark, curated), rules), out)
-    return L.heuristic_counts(read_table(spark, out), rules)
+    """Curated to labelled reviews; returns positives per heuristic and whether the rate is in its band, both counted
+    in the write."""
+    seen, sums = Observation(), L.heuristic_sums()
+    write_by_category(L.label(read_table(spark, curated), rules), out, (seen, sums))
+    names = ("reviews", *[f"{n}_count" for n in L.FLAGS])
+    counted = spark.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+    return L.heuristic_rates(counted, rules)
 
 
 def build_split(spark: SparkSession, labeled: str, train_out: str, test_out: str,
                 rule: SplitRule = SplitRule()) -> DataFrame:
-    """Labelled reviews to a training and a test table, by reviewer; returns the balance of both."""
-    rows = read_table(spark, labeled)
-    write_by_category(S.train_part(rows, rule=rule), train_out)
-    write_by_category(S.test_part(rows, rule=rule), test_out)
-    return S.split_balance(rows, rule=rule)
+    """Labelled reviews to a training and a test table, by reviewer; returns the balance of both, counted in the writes."""
+    rows, counted = read_table(spark, labeled), []
+    sides = (("train", S.train_part(rows, rule=rule), train_out), ("test", S.test_part(rows, rule=rule), test_out))
+    for name, side, out in sides:
+        seen = Observation()
+        write_by_category(side, out, (seen, S.side_sums()))
+        counted.append((name, seen.get["reviews"], seen.get["positives"]))
+    both = spark.createDataFrame(counted, "split string, reviews bigint, positives bigint")
+    return S.balance(both.where("reviews > 0"))
 
 
 def build_lookups(spark: SparkSession, train: str, reviewers_out: str, products_out: str, buckets: int | None = None,

@@ -646,3 +646,50 @@ ORACLE["stream_fan_out_alerts"] = f"""{_RULE_SCORED}
 ORACLE["stream_batch_counts"] = f"""{_RULE_SCORED}
     select 2::bigint as batches, (select count(*) from docs) as messages, (select count(*) from split_up where is_cut) as broken,
            (select count(*) from scored) as scored, (select count(*) from timed) as flagged"""
+
+_RULE_SCORE = """round(4 * round(v_caps, 6) - floor(v_length / 500) / 10 + abs(v_stars - 3) / 2 / 8
+        + case when v_verified then 0.0::double else 0.05::double end, 6)"""
+_SWAPPED = {"star_rating": "stars", "txt_caps_ratio": "caps", "txt_body_length": "length", "helpful_votes": "votes",
+            "verified_purchase": "verified"}
+ORACLE["rule_importance"] = f"""
+    with {_DOCS},
+    held_out as (
+      select review_id, star_rating as stars, helpful_votes as votes, verified_purchase as verified, {_text("coalesce(review_body, '')")},
+             case when is_likely_fraud then 1 else 0 end as hit
+      from docs where {_bucket('review_id')} >= 70),
+    own as (
+      select review_id, hit, stars, votes, verified, txt_caps_ratio as caps, txt_body_length as length,
+             concat('0x', substr(md5(concat('101:', review_id)), 1, 8))::bigint % 4 as block, md5(concat('102:', review_id)) as place
+      from held_out),
+    pairs as (
+      select *, {", ".join(f"coalesce(lead({n}) over o, first_value({n}) over o) as next_{n}" for n in _SWAPPED.values())}
+      from own window o as (partition by block order by place, review_id)),
+    variants as (
+      select *, unnest(['', {", ".join(f"'{f}'" for f in _SWAPPED)}]) as feature from pairs),
+    swapped as (
+      select feature, hit, {", ".join(f"case when feature = '{f}' then next_{n} else {n} end as v_{n}" for f, n in _SWAPPED.items())}
+      from variants),
+    points as (select feature, {_RULE_SCORE} as score, sum(hit) as hits, count(*) as n from swapped group by all),
+    curve as (
+      select *, sum(hits) over w as tp, sum(n - hits) over w as fp from points
+      window w as (partition by feature order by score desc rows unbounded preceding)),
+    areas as (
+      select feature, sum(n)::bigint as reviews, sum(hits)::bigint as positives,
+             sum((n - hits) * (tp + tp - hits) / 2.0::double) / nullif(sum(hits)::double * sum(n - hits)::double, 0) as auc
+      from curve group by feature)
+    select a.feature, a.reviews, a.positives, round(w.auc, 6) as whole_auc, round(a.auc, 6) as permuted_auc,
+           round(w.auc - a.auc, 6) as importance
+    from areas a join areas w on w.feature = '' where a.feature <> ''"""
+
+ORACLE["stream_progress"] = f"""with {_PREDICTIONS},
+    hits as (select *, review_id::bigint % 2 = 1 as late_part, time_bucket(interval 3 hours, "timestamp") as slot
+             from predictions where prediction = 1),
+    placed as (select product_category, late_part, slot + interval 6 hours as window_end from hits
+               union all select product_category, late_part, slot + interval 3 hours as window_end from hits),
+    marks as (select max("timestamp") filter (not late_part) - interval 10 minutes as early,
+                     max("timestamp") - interval 10 minutes as last from hits)
+    select 'late_alerts' as name,
+           (select count(distinct (window_end, product_category)) from placed, marks where late_part and window_end <= early) as late_groups,
+           (select count(distinct (window_end, product_category)) from placed, marks where window_end > last) as state_rows,
+           strftime(last, '%Y-%m-%dT%H:%M:%S.%gZ') as watermark
+    from marks"""

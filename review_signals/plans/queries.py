@@ -13,6 +13,7 @@ from review_signals.functions.scalars import date_from_epoch_days, flagged, help
 from review_signals.operators import curate as C
 from review_signals.operators import features as X
 from review_signals.operators import history as H
+from review_signals.operators import importance as I
 from review_signals.operators import labels as L
 from review_signals.operators import metrics as Q
 from review_signals.operators import model as M
@@ -28,6 +29,7 @@ from review_signals.sources import standin as D
 from review_signals.session import shared_dir
 from review_signals.sources.tables import read_layouts, read_table, replace_partitions, stage, unstage, write_by_category
 from review_signals.streaming import fan_out as O
+from review_signals.streaming import progress as G
 from review_signals.streaming import scoring as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -534,6 +536,24 @@ def model_comparison(spark, d):
     return rounded(M.compare(*both), "by_value", "by_number")
 
 
+RULE_FEATURES = ("star_rating", "txt_caps_ratio", "txt_body_length", "helpful_votes", "verified_purchase")
+
+
+def _loud_rule(rows):
+    """A fixed rule that looks at four of its five features; the length counts by steps of 500 characters."""
+    far = F.abs(F.col("star_rating") - 3) / 2
+    score = 4 * F.round("txt_caps_ratio", 6) - F.floor(F.col("txt_body_length") / 500) / 10 + far / 8
+    return rows.withColumn("fraud_probability", F.round(score + F.when(F.col("verified_purchase"), 0.0).otherwise(0.05), 6))
+
+
+@query
+def rule_importance(spark, d):
+    """What each feature is worth to a fixed rule, on the held-out documents."""
+    rows = Q.with_label(S.test_part(D.document_reviews(spark, d), key="review_id"))
+    found = I.permutation_importance(X.with_text_features(rows), RULE_FEATURES, _loud_rule, blocks=4)
+    return rounded(found, "whole_auc", "permuted_auc", "importance")
+
+
 @query
 def apply_threshold(spark, d):
     events = D.table(spark, d, "events")
@@ -577,6 +597,24 @@ def stream_sliding_alerts(spark, d):
     return as_text(rounded(spark.read.parquet(f"{base}/out"), "avg_fraud_prob"), "window_start", "window_end")
 
 
+@query
+def stream_progress(spark, d):
+    """What the log of a query says of predictions that come in two parts, both from the whole time: the second brings
+    late ones. Windows that were dropped as late, windows still open at the end, and the last watermark."""
+    base, rows = _workspace(spark), D.predictions(spark, d)
+    typed = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    second = F.col("review_id").cast("bigint") % 2 == 1
+    with G.ProgressLog(spark, f"{base}/progress") as log:
+        for part in (typed.where(~second), typed.where(second)):
+            part.write.mode("append").parquet(f"{base}/in")
+            alerts = W.sliding_alerts(T.prediction_stream(spark, f"{base}/in"), EVENT_ALERTS, keys=("product_category",))
+            started = T.start_sink(alerts, f"{base}/out", "late_alerts", f"{base}/checkpoint", interval=None)
+            _worked_off(started)
+            log.await_end(started)
+    seen = G.progress_by_query(G.read_progress(spark, f"{base}/progress"))
+    return seen.select("name", "late_groups", "state_rows", "watermark")
+
+
 @query
 def partition_refresh(spark, d):
     """One category of a written table is replaced, with every rating turned around; the others keep their files."""

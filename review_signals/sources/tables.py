@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from review_signals.session import shared_dir
 
 
+#: Aggregates of the rows that a write is to count along the way, and where to put them.
+Counted = tuple[Observation, Sequence[Column]]
+
+
 class MissingInput(FileNotFoundError):
     """The table a job should read is not there."""
 
 
-def read_table(spark: SparkSession, *paths: str, hint: str = "", schema: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, *paths: str, hint: str = "", schema: str | None = None, format: str = "parquet") -> DataFrame:
     """Scan directories, files or globs as one table; a path without any file is an error at once."""
     reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return reader.parquet(*paths)
+        return reader.format(format).load(list(paths))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise MissingInput(f"No files at {', '.join(paths)}. {hint}".strip()) from error
@@ -34,14 +39,19 @@ def dealt(rows: DataFrame, key: str, partitions: int) -> DataFrame:
     return rows.repartition(partitions, key).sortWithinPartitions(key, *others)
 
 
-def write_partitioned(rows: DataFrame, path: str, *keys: str, rebalance: bool = True, max_records: int = 5_000_000) -> None:
+def write_partitioned(rows: DataFrame, path: str, *keys: str, rebalance: bool = True, max_records: int = 5_000_000,
+                      counted: Counted | None = None) -> None:
     """Overwrite a table partitioned by the columns that readers prune on.
 
     One shuffle brings the rows of a partition together, so that it gets few files; Spark splits large ones in it.
-    Without ``rebalance`` nothing is shuffled and every task writes its own file per partition.
+    Without ``rebalance`` nothing is shuffled and every task writes its own file per partition. ``counted`` is filled along
+    the way.
     """
     if rebalance:
         rows = rows.hint("rebalance", *keys)
+    if counted:
+        # after the shuffle, in the tasks that write: rows of a stage that is run again are not counted twice
+        rows = rows.observe(counted[0], *counted[1])
     rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy(*keys).parquet(path)
 
 
@@ -74,8 +84,8 @@ def read_layouts(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_by_category(rows: DataFrame, path: str) -> None:
-    write_partitioned(rows, path, "product_category")
+def write_by_category(rows: DataFrame, path: str, counted: Counted | None = None) -> None:
+    write_partitioned(rows, path, "product_category", counted=counted)
 
 
 def write_plain(rows: DataFrame, path: str) -> None:

@@ -110,3 +110,25 @@ def test_bucketed_lookups_keep_their_rows(spark, base, tmp_path):
     finally:
         for name in ("people_b", "goods_b"):
             spark.sql(f"drop table if exists {name}")
+
+
+def test_counts_of_a_write_are_those_of_the_table(spark, base, tmp_path):
+    """What the jobs return is counted in the write: the same as reading the table again, without reading it."""
+    from review_signals.operators import labels as L
+    from review_signals.operators import profile as P
+    from review_signals.operators import split as S
+
+    chosen = [*CATEGORIES, "no such category"]
+    counted = jobs.build_curated(spark, f"{base}/raw/reviews_*.parquet", f"{tmp_path}/curated", chosen)
+    again = spark.read.parquet(f"{tmp_path}/curated")
+    assert counted.collect() == P.category_counts(again).collect()
+    found = jobs.build_labels(spark, f"{tmp_path}/curated", f"{tmp_path}/labeled")
+    labeled = spark.read.parquet(f"{tmp_path}/labeled")
+    assert found.first().asDict() == L.heuristic_counts(labeled).first().asDict()
+    sides = jobs.build_split(spark, f"{tmp_path}/labeled", f"{tmp_path}/train", f"{tmp_path}/test")
+    expected = {r["split"]: r.asDict() for r in S.split_balance(labeled).collect()}
+    assert {r["split"]: r.asDict() for r in sides.collect()} == expected and len(expected) == 2
+    for frame in (counted, found, sides):
+        assert "parquet" not in frame._jdf.queryExecution().executedPlan().toString().lower()
+    none = jobs.build_curated(spark, f"{base}/raw/reviews_*.parquet", f"{tmp_path}/none", ["no such category"])
+    assert none.collect() == []
