@@ -627,17 +627,19 @@ def partition_refresh(spark, d):
 
 @query
 def scan_files(spark, d):
-    """Documents in files of two layouts: ids as text and no language, and all columns as they are given."""
+    """Documents in files of two layouts: ids as text and no language, and all columns as they are given. Every task writes
+    a file of its own, and the profiles of a layout's files are added up."""
     base, documents = _workspace(spark), D.table(spark, d, "documents")
     first = F.col("doc_id") % 3 == 0
     old = documents.where(first).select(F.col("doc_id").cast("string").alias("DOC_ID"), "text", F.col("n_chars").cast("int"))
-    old.coalesce(1).write.parquet(f"{base}/old")
-    documents.where(~first).coalesce(1).write.parquet(f"{base}/new")
+    old.write.parquet(f"{base}/old")
+    documents.where(~first).write.parquet(f"{base}/new")
     rows = read_layouts(spark, "doc_id bigint, lang string, source string, n_chars bigint", f"{base}/old", f"{base}/new")
     folder = F.element_at(F.split("file", "/"), -2).alias("layout")
     profile = P.file_profile(rows, "doc_id", "lang", "source", "n_chars")
     chars = rows.groupBy("file").agg(F.sum("n_chars").alias("chars"), F.max("doc_id").alias("last_id"))
-    return profile.join(chars, "file").select(folder, *profile.columns[1:], "chars", "last_id")
+    sums = [F.sum(c).alias(c) for c in (*profile.columns[1:], "chars")]
+    return profile.join(chars, "file").groupBy(folder).agg(*sums, F.max("last_id").alias("last_id"))
 
 
 EVENT_WINDOWS = AlertRule(window="2 hours", slide="1 hour", min_hits=3)

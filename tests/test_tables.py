@@ -5,6 +5,8 @@ import os
 from helpers import reviews
 
 from review_signals.operators import profile as P
+from review_signals.plans.queries import REGISTRY
+from review_signals.session import shared_dir
 from review_signals.sources.tables import read_layouts, read_table, replace_partitions, write_by_category
 
 
@@ -49,3 +51,24 @@ def test_sketches_add_up(spark):
     assert merged.reviews == 9000 and merged.products == exact.products == 40
     assert abs(merged.reviewers - exact.reviewers) <= 0.02 * exact.reviewers
     assert {r.product_category for r in P.merged_entities(kept, "product_category").collect()} == {"Books", "Music"}
+
+
+def test_scan_files_writes_and_profiles_many_files(spark, tmp_path):
+    """No task reads a whole table: each writes its own file, and a layout's files make one row."""
+    path = str(tmp_path / "documents.parquet")
+    rows = [(None if i == 7 else i, "text", None if i % 4 == 0 else "en", "web", None if i == 5 else i) for i in range(40)]
+    for part in range(4):
+        documents = spark.createDataFrame(rows[part * 10 : part * 10 + 10], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        documents.coalesce(1).write.mode("append").parquet(path)
+    queries = shared_dir(spark).removeprefix("file:") + "/queries"
+    before = files(queries)
+    found = {r.layout: r for r in REGISTRY["scan_files"](spark, str(tmp_path)).collect()}
+    written = files(queries) - before
+    assert {layout: sum(f"/{layout}/" in f for f in written) > 1 for layout in ("old", "new")} == {"old": True, "new": True}
+    old, new = found["old"], found["new"]
+    ids = [(i, n) for i, _, _, _, n in rows if i is not None]
+    for row, own in ((old, [x for x in ids if x[0] % 3 == 0]), (new, [x for x in ids if x[0] % 3])):
+        assert (row.row_count, row.chars, row.last_id) == (len(own), sum(n or 0 for _, n in own), max(i for i, _ in own))
+    assert len(found) == 2 and (old.lang_missing, old.source_missing, old.n_chars_missing) == (14, 14, 0)
+    assert (new.doc_id_missing, new.source_missing, new.n_chars_missing) == (0, 0, 1)
+    assert new.lang_missing == sum(i % 4 == 0 and i % 3 > 0 for i in range(40))
