@@ -17,7 +17,7 @@ from review_signals.operators.history import (
     reviewer_history,
 )
 from review_signals.operators.skew import attach, key_sizes
-from review_signals.schemas import FEATURE_COLUMNS, TEXT_FEATURES
+from review_signals.schemas import FEATURE_COLUMNS, REVIEWER_FEATURES, TEXT_FEATURES
 
 
 def with_text_features(reviews: DataFrame, body: str = "review_body") -> DataFrame:
@@ -48,7 +48,7 @@ def fill_features(rows: DataFrame) -> DataFrame:
 
 def behaviour_features(
     rows: DataFrame,
-    reviewers: DataFrame,
+    reviewers: DataFrame | None,
     products: DataFrame,
     own: Collection[str] = (),
     rules: CrossRules = CrossRules(),
@@ -59,16 +59,19 @@ def behaviour_features(
 
     ``own`` names the keys (customer_id, product_id) whose lookup was computed from these very rows, so that its totals
     tell how many rows each key has here. For the other key (lookups of the training part only) the rows are counted,
-    or ``keys_from``, a frame with the same keys that is cheaper to compute.
+    or ``keys_from``, a frame with the same keys that is cheaper to compute. Without ``reviewers`` the rows carry the
+    reviewer features already.
     """
-    people, goods = as_reviewer_features(reviewers), as_product_features(products)
     counted = rows if keys_from is None else keys_from
 
     def sizes(key: str, total: str) -> dict:
         return {"size": total} if key in own else {"sizes": key_sizes(counted, [key])}
 
-    by_reviewer, by_product = sizes("customer_id", "rev_total_reviews"), sizes("product_id", "prod_total_reviews")
-    joined = attach(rows, people, ["customer_id"], salt_by=["review_id"], rule=skew, **by_reviewer)
+    joined = rows
+    if reviewers is not None:
+        people, by_reviewer = as_reviewer_features(reviewers), sizes("customer_id", "rev_total_reviews")
+        joined = attach(joined, people, ["customer_id"], salt_by=["review_id"], rule=skew, **by_reviewer)
+    goods, by_product = as_product_features(products), sizes("product_id", "prod_total_reviews")
     joined = attach(joined, goods, ["product_id"], salt_by=["review_id"], rule=skew, **by_product)
     return with_cross_features(joined, rules)
 
@@ -84,17 +87,18 @@ def review_features(
 ) -> DataFrame:
     """The feature table: review_id, product_category, is_likely_fraud and the twenty features.
 
-    A history that is not given is that of ``labeled`` itself. The text is measured first, so the bodies never enter a
-    shuffle.
+    A history that is not given is that of ``labeled`` itself. Reviewer features that ``labeled`` has already (from
+    :func:`labels.label`) are taken as they are. The text is measured first, so the bodies never enter a shuffle.
     """
-    if reviewers is None:
+    carried = [c for c in REVIEWER_FEATURES if c in labeled.columns] if reviewers is None else []
+    if reviewers is None and not carried:
         reviewers, own = reviewer_history(labeled), {*own, "customer_id"}
     if products is None:
         products, own = product_history(labeled), {*own, "product_id"}
     measured = labeled if TEXT_FEATURES[0] in labeled.columns else with_text_features(labeled)
     slim = measured.select(
         "review_id", "customer_id", "product_id", "product_category", "is_likely_fraud", "star_rating",
-        *TEXT_FEATURES,
+        *TEXT_FEATURES, *carried,
     )
     joined = behaviour_features(slim, reviewers, products, own, rules, skew, keys_from)
     return fill_features(joined.select("review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS))

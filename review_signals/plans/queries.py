@@ -412,13 +412,20 @@ def cross_features(spark, d):
 OWN_KEYS = ("customer_id", "product_id")
 
 
-def _labelled(spark, d):
-    """Labelled and measured reviews, without texts: labelled once and written, as histories and features read them."""
-    return stage(D.with_document_text(L.label(D.reviews(spark, d, with_order=True)), d), "labelled")
+def _measured(spark, d):
+    """Reviews with the figures of their texts, joined once and written, as histories, labels and features read them."""
+    return stage(D.reviews(spark, d, with_text=True), "reviews")
+
+
+def _labelled(rows, reviewers):
+    """Labelled reviews with their reviewer's features: they travel to the reviewers once, for both."""
+    return L.label(rows, reviewers=H.as_reviewer_features(reviewers))
 
 
 def _features(spark, d):
-    return X.review_features(_labelled(spark, d))
+    rows = _measured(spark, d)
+    labeled = _labelled(rows, H.reviewer_history(rows))
+    return X.review_features(labeled, products=H.product_history(rows), own={"product_id"})
 
 
 @query
@@ -429,9 +436,10 @@ def review_features(spark, d):
 @query
 def train_history_features(spark, d):
     """All reviews, with the history of the training reviewers only: what a leak-free evaluation uses."""
-    labeled = _labelled(spark, d)
-    train = S.train_part(labeled)
-    return rounded(X.review_features(labeled, H.reviewer_history(train), H.product_history(train)), *FEATURE_ROUNDING)
+    rows = _measured(spark, d)
+    train = S.train_part(rows)
+    labeled = _labelled(rows, H.reviewer_history(train))
+    return rounded(X.review_features(labeled, products=H.product_history(train), keys_from=rows), *FEATURE_ROUNDING)
 
 
 @query

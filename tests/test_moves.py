@@ -1,0 +1,72 @@
+"""Reviews move as seldom as they can: joined once, labelled and described on one way, summed up where they are."""
+
+import datetime as dt
+
+import pytest
+from helpers import day, reviews
+
+from review_signals.config import SkewRule
+from review_signals.operators import features as X
+from review_signals.operators import history as H
+from review_signals.operators import labels as L
+from review_signals.plans.queries import REGISTRY
+from review_signals.schemas import FEATURE_COLUMNS
+from review_signals.sources import standin as D
+
+
+@pytest.fixture
+def shop(spark, tmp_path):
+    """Four orders of two buyers, two of them without a document; one part is named twice, one line has no part."""
+    at = dt.datetime(1995, 1, 1)
+    tables = {
+        "lineitem": [(o, p, s, n, float(q), 1.0, 0.1, 0.0, flag, "O", at) for o, p, s, n, q, flag in
+                     [(1, 1, 10, 1, 4, "R"), (1, 2, 3, 2, 9, "N"), (2, 1, 3, 1, 1, "N"), (3, 2, 10, 1, 5, "A"), (4, 9, 3, 1, 5, "A"), (7, 2, 3, 1, 2, None), (None, 2, 3, 1, 2, "N")]],
+        "orders": [(o, c, "O", 1.0, at, "1") for o, c in [(1, 20), (2, 20), (3, 7), (4, 7), (7, None)]],
+        "part": [(1, "bolt", "b", "PROMO", 1, 1.0), (2, "nut", "b", "SMALL", 1, 1.0), (2, "nut", "b", "LARGE", 1, 1.0)],
+        "documents": [(0, None, "en", "web", 0), (1, "NOW! go", "en", "web", 7), (3, "ok", "en", "web", 2)],
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, D.TABLE_SCHEMAS[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["review_features", "train_history_features"])
+def test_tables_are_joined_once(spark, shop, name):
+    """What the query still has to do reads the written reviews; before, each history and join read all tables again."""
+    frame = REGISTRY[name](spark, shop)
+    read = [f for f in frame.inputFiles() if "/staged/" not in f]
+    assert frame.count() == 8 and not read
+
+
+def test_texts_are_those_of_the_order(spark, shop):
+    rows = D.reviews(spark, shop, with_text=True)
+    found = {(r.review_id, r.product_category): (r.txt_body_length, r.txt_caps_word_count, r.txt_exclamation_count, r.txt_sentiment) for r in rows.collect()}
+    assert found == {
+        ("1-1-1-10", "PROMO"): (7, 0, 1, 1.0), ("1-2-2-3", "SMALL"): (7, 0, 1, 1.0), ("1-2-2-3", "LARGE"): (7, 0, 1, 1.0),
+        ("2-1-1-3", "PROMO"): (None, None, None, 1.0),
+        ("3-1-2-10", "SMALL"): (2, 0, 0, -1.0), ("3-1-2-10", "LARGE"): (2, 0, 0, -1.0),
+        ("7-1-2-3", "SMALL"): (2, 0, 0, 0.0), ("7-1-2-3", "LARGE"): (2, 0, 0, 0.0)}
+
+
+def many(spark):
+    """A burst of a busy reviewer, a one-sided one, reviewers and dates that are missing, ids that come twice."""
+    rows = [dict(customer_id="busy", product_id=f"p{i % 3}", review_date=day(i // 12), star_rating=i % 5 + 1) for i in range(30)]
+    rows += [dict(customer_id="glad", product_id="p1", review_date=day(3 * i), star_rating=5, total_votes=9) for i in range(10)]
+    rows += [dict(customer_id=None, review_date=None if i % 2 else day(i), product_id=None if i % 3 else "p2") for i in range(12)]
+    rows += [dict(customer_id="undated", review_date=None, star_rating=None) for _ in range(11)] + [dict(review_id="r0", customer_id="once")]
+    return reviews(spark, rows)
+
+
+@pytest.mark.parametrize("skew", [SkewRule(), SkewRule(hot_rows=5, max_hot_keys=5, salts=4)])
+@pytest.mark.parametrize("some", [True, False])
+def test_reviewer_figures_come_with_the_labels(spark, skew, some):
+    rows = many(spark)
+    people = H.reviewer_history(rows.where("customer_id <> 'busy'") if some else rows)
+    apart = L.label(rows, skew=skew)
+    both = L.label(rows, skew=skew, reviewers=H.as_reviewer_features(people))
+    assert both.select(*apart.columns).exceptAll(apart).count() == 0 and both.count() == apart.count()
+    assert both.where("h2_burst_activity").count() > 10 and both.where("h3_extreme_bias").count() == 10
+    wanted = X.review_features(apart, people, skew=skew)
+    found = X.review_features(both, products=H.product_history(rows), own={"product_id"}, skew=skew)
+    assert found.columns == wanted.columns == ["review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS]
+    assert found.exceptAll(wanted).count() == 0 and found.count() == wanted.count() == rows.count()
