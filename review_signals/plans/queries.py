@@ -402,7 +402,9 @@ def text_features(spark, d):
 
 @query
 def cross_features(spark, d):
-    rows = D.reviews(spark, d).withColumns({c: F.lit(0) for c in X.TEXT_FEATURES})
+    read = ("review_id", *OWN_KEYS, "star_rating", "verified_purchase", "review_date")
+    # joined once and written: both histories and the features read it
+    rows = stage(D.reviews(spark, d).select(*read), "reviews").withColumns({c: F.lit(0) for c in X.TEXT_FEATURES})
     joined = X.behaviour_features(rows, H.reviewer_history(rows), H.product_history(rows), OWN_KEYS)
     cross = joined.select("review_id", "xf_rating_vs_reviewer", "xf_rating_vs_product",
                           "xf_extreme_review_neutral_product")

@@ -30,7 +30,7 @@ def shop(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["review_features", "train_history_features"])
+@pytest.mark.parametrize("name", ["cross_features", "review_features", "train_history_features"])
 def test_tables_are_joined_once(spark, shop, name):
     """What the query still has to do reads the written reviews; before, each history and join read all tables again."""
     frame = REGISTRY[name](spark, shop)
