@@ -21,7 +21,7 @@ HISTORIES: dict[str, Callable[[DataFrame], DataFrame]] = {"customer_id": reviewe
 
 def add_batch(reviews: DataFrame, store: str, key: str, batch: int) -> None:
     """Keep the sums of a batch of reviews per ``key`` and day, in place of those the store has of this batch."""
-    replace_partitions(day_tallies(reviews, key).withColumn("batch", F.lit(batch).cast("long")), store, "batch")
+    replace_partitions(day_tallies(reviews, key).withColumn("batch", F.lit(batch).cast("long")), store, "batch", rebalance=False)
 
 
 def read_batches(spark: SparkSession, store: str) -> DataFrame:
@@ -41,15 +41,19 @@ def history(batches: DataFrame, key: str) -> DataFrame:
 def refreshed(lookup: DataFrame | None, batches: DataFrame, key: str, batch: int) -> DataFrame:
     """The lookup after a batch: the keys of the batch worked out again, all others as they were.
 
-    A null key is a key like others, as in the histories.
+    A null key is a key like others, as in the histories. In a struct it is equal to itself, so that the rows meet the keys
+    of the batch by a plain join, and are summed up where they are: they move once.
     """
-    touched = batches.where(F.col("batch") == batch).select(F.col(key).alias("_touched")).distinct()
-    same = F.col(key).eqNullSafe(F.col("_touched"))
-    again = history(batches.join(touched, same, "left_semi"), key)
-    return again if lookup is None else lookup.join(touched, same, "left_anti").unionByName(again)
+    held = batches.withColumn(key, F.struct(key))
+    touched = held.where(F.col("batch") == batch).select(key).distinct()
+    again = history(held.join(touched, key, "left_semi"), key).withColumn(key, F.col(f"{key}.{key}"))
+    if lookup is None:
+        return again
+    kept = lookup.withColumn(key, F.struct(key)).join(touched, key, "left_anti")
+    return kept.withColumn(key, F.col(f"{key}.{key}")).unionByName(again)
 
 
 def compact(batches: DataFrame, store: str, key: str) -> None:
     """All batches as one, in another store: as many rows as there are keys and days, whatever the number of batches."""
     newest = batches.agg(F.max("batch")).scalar()
-    replace_partitions(merged(batches, key).withColumn("batch", newest), store, "batch")
+    replace_partitions(merged(batches, key).withColumn("batch", newest), store, "batch", rebalance=False)

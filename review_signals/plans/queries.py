@@ -371,14 +371,16 @@ def product_lookup(spark, d):
 def _kept_up_to_date(spark, d, key):
     """The history after three batches of reviews that came one by one, the second of them twice; days are spread over
     batches, and the last batch meets compacted sums."""
-    base, rows = _workspace(spark), D.reviews(spark, d)
-    store, lookup = f"{base}/batches", None
-    part = F.crc32(F.col("review_id").cast("binary")) % 3
+    base, lookup = _workspace(spark), None
+    part = (F.crc32(F.col("review_id").cast("binary")) % 3).alias("part")
+    # joined once and written, with no more than the sums need: every batch reads it
+    rows = stage(D.reviews(spark, d).select(key, "review_date", "star_rating", "verified_purchase", part), "reviews")
+    store = f"{base}/batches"
     for number, batch in enumerate((0, 1, 1, 2)):
         if number == 3:
             B.compact(B.read_batches(spark, store), f"{base}/compacted", key)
             store = f"{base}/compacted"
-        B.add_batch(rows.where(part == batch), store, key, batch + 1)
+        B.add_batch(rows.where(F.col("part") == batch), store, key, batch + 1)
         lookup = stage(B.refreshed(lookup, B.read_batches(spark, store), key, batch + 1), "lookup")
     return lookup
 

@@ -3,17 +3,26 @@
 import datetime as dt
 
 import pytest
-from helpers import day, reviews
+from helpers import as_dict, day, reviews
+from pyspark.sql import functions as F
 
 from review_signals.config import SkewRule
 from review_signals.operators import features as X
 from review_signals.operators import history as H
 from review_signals.operators import labels as L
+from review_signals.operators import tallies as B
 from review_signals.plans.queries import REGISTRY
 from review_signals.schemas import FEATURE_COLUMNS
 from review_signals.sources import standin as D
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture
 def shop(spark, tmp_path):
     """Four orders of two buyers, two of them without a document; one part is named twice, one line has no part."""
@@ -70,3 +79,25 @@ def test_reviewer_figures_come_with_the_labels(spark, skew, some):
     found = X.review_features(both, products=H.product_history(rows), own={"product_id"}, skew=skew)
     assert found.columns == wanted.columns == ["review_id", "product_category", "is_likely_fraud", *FEATURE_COLUMNS]
     assert found.exceptAll(wanted).count() == 0 and found.count() == wanted.count() == rows.count()
+
+
+def test_sums_of_a_refresh_move_once(spark, tmp_path, no_broadcast):
+    """The keys of the batch move once and the sums once, for the join and both groupings."""
+    store = str(tmp_path / "store")
+    B.add_batch(many(spark), store, "customer_id", 0)
+    again = B.refreshed(None, B.read_batches(spark, store), "customer_id", 0)
+    assert again._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert as_dict(again, "customer_id", "rh_total_reviews") == {"busy": 30, "glad": 10, None: 12, "undated": 11, "once": 1}
+
+
+def test_a_batch_is_written_where_it_was_summed(spark, tmp_path):
+    """No shuffle besides that of the sums: a file per task, and readers see the one partition."""
+    store = str(tmp_path / "store")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        B.add_batch(many(spark), store, "product_id", 4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    kept = B.read_batches(spark, store)
+    assert len(kept.inputFiles()) > 1 and {r.batch for r in kept.select("batch").distinct().collect()} == {4}
+    assert kept.agg(F.sum("_n")).first()[0] == many(spark).count()
