@@ -81,6 +81,19 @@ def test_reviewer_figures_come_with_the_labels(spark, skew, some):
     assert found.exceptAll(wanted).count() == 0 and found.count() == wanted.count() == rows.count()
 
 
+def test_rules_count_a_review_once_however_many_documents_share_an_id(spark, shop):
+    spark.createDataFrame([(1, "BIG", "en", "web", 3), (1, "BIG", "en", "web", 3), (None, "x", "en", "web", 1)], D.TABLE_SCHEMAS["documents"]).write.mode("append").parquet(f"{shop}/documents.parquet")
+    rows, plain = D.reviews(spark, shop, with_text=True), D.reviews(spark, shop)
+    assert rows.count() == 8 + 2 * 3 and rows.where("first_text").select(*plain.columns).exceptAll(plain).count() == 0
+    assert rows.where("first_text").count() == plain.count() == 8
+    once = many(spark)
+    people = H.as_reviewer_features(H.reviewer_history(once))
+    flags = ("review_id", "customer_id", "is_likely_fraud")
+    doubled = L.label(once.unionByName(once), reviewers=people, counted=once).select(*flags)
+    plain = L.label(once).select(*flags)
+    assert doubled.exceptAll(plain.unionByName(plain)).count() == 0 and doubled.count() == 2 * plain.count()
+
+
 def test_sums_of_a_refresh_move_once(spark, tmp_path, no_broadcast):
     """The keys of the batch move once and the sums once, for the join and both groupings."""
     store = str(tmp_path / "store")
