@@ -1,10 +1,13 @@
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from review_signals.config import ForestSettings
 from review_signals.operators import metrics as Q
 from review_signals.operators import model as M
 from review_signals.schemas import FEATURE_COLUMNS
+from review_signals.sources.tables import dealt
 
 SMALL = ForestSettings(trees=4, depth=3, feature_subset="all")
 
@@ -60,6 +63,30 @@ def test_forest_does_not_depend_on_the_layout(features):
     assert scores[0] == scores[1]
 
 
+def test_levels_go_on_from_kept_nodes(spark, features):
+    """A level doesn't start at the roots again; trees are those of a plain forest, even if deep, and nothing stays kept."""
+    settings = ForestSettings(trees=5, depth=12, partitions=3)
+    noisy = F.crc32(F.col("review_id").cast("binary"))
+    rows = features.withColumns({c: (noisy * (i + 3) % 1009).cast("double") for i, c in enumerate(FEATURE_COLUMNS)})
+    forest = M.training_stages(["x"], settings)[-1]
+    assert forest.getCacheNodeIds() and forest.getCheckpointInterval() == -1
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = M.train(rows, settings)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    columns = M.feature_columns(rows)
+    assembler, scaler, _ = M.training_stages(columns, settings)
+    plain = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=5, maxDepth=12, seed=settings.seed,
+                                   subsamplingRate=settings.subsampling, featureSubsetStrategy=settings.feature_subset)
+    table = dealt(Q.with_label(rows).select("review_id", "label", *columns), "review_id", settings.partitions)
+    wanted = Pipeline(stages=[assembler, scaler, plain]).fit(table).stages[-1]
+
+    def trees(forest):
+        return [tree.toDebugString.split("\n", 1)[1] for tree in forest.trees]
+
+    assert max(tree.depth for tree in wanted.trees) > 10
+    assert trees(model.stages[-1]) == trees(wanted)
+
+
 def test_threshold_changes_the_verdict_only(features):
     model = M.train(features, SMALL)
     filled = features.fillna(0)
