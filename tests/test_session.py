@@ -49,3 +49,12 @@ def test_layout_is_decided_by_content_alone(spark):
         [tuple(r) for r in dealt(rows.repartition(n), "k", 5).selectExpr("spark_partition_id() p", "*").collect()] for n in (1, 6)
     ]
     assert layouts[0] == layouts[1] and len({p for p, *_ in layouts[0]}) == 5
+
+
+def test_rows_that_are_alike_lie_together(spark):
+    rows = spark.range(2_000).selectExpr("cast(id as string) as k", "id * 7919 % 20 as v", "-id % 50 as w")
+    parts = {}
+    for p, k, v, w in dealt(rows, "k", 4).selectExpr("spark_partition_id() p", "k", "v", "w").collect():
+        parts.setdefault(p, []).append((v, w, k))
+    assert len(parts) == 4 and sum(map(len, parts.values())) == 2_000
+    assert all(found == sorted(found) for found in parts.values())
