@@ -1,6 +1,8 @@
 """Reviews move as seldom as they can: joined once, labelled and described on one way, summed up where they are."""
 
 import datetime as dt
+import os
+import time
 
 import pytest
 from helpers import as_dict, day, reviews
@@ -13,7 +15,9 @@ from review_signals.operators import labels as L
 from review_signals.operators import tallies as B
 from review_signals.plans.queries import REGISTRY
 from review_signals.schemas import FEATURE_COLUMNS
+from review_signals.session import shared_dir
 from review_signals.sources import standin as D
+from review_signals.sources.tables import stage
 
 
 @pytest.fixture
@@ -47,6 +51,48 @@ def test_tables_are_joined_once(spark, shop, name):
     assert frame.count() == 8 and not read
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files on the disks of this (local) session."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def gone(spark, files, seconds=20):
+    """Whether the files go within a time, as Spark deletes them in the background."""
+    until = time.time() + seconds
+    while files & shuffle_files(spark) and time.time() < until:
+        time.sleep(0.2)
+    return not files & shuffle_files(spark)
+
+
+def test_shuffles_of_a_step_go_with_its_end(spark, no_broadcast):
+    pairs = spark.range(1_000).selectExpr("id", "id % 10 as k").groupBy("k").count()
+    setting, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffle_files(spark)
+    staged = stage(pairs.join(spark.range(20).withColumnRenamed("id", "k"), "k"), "pairs")
+    assert gone(spark, shuffle_files(spark) - before) and spark.conf.get(setting, None) is None
+    assert as_dict(staged, "k", "count") == {k: 100 for k in range(10)}
+    spark.conf.set(setting, "false")
+    try:
+        assert stage(pairs, "pairs").count() == 10 and spark.conf.get(setting) == "false"
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            stage(pairs.selectExpr("1 / (k - k)"), "broken")
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting)
+
+
+@pytest.mark.parametrize("name, left", [("review_features", {"labelled", "products"}), ("feature_stddev", set())])
+def test_reviews_go_when_they_are_labelled(spark, shop, name, left):
+    """Of the written steps only those stay that the result still reads; the reviews and earlier shuffles do not."""
+    folder = f"{shared_dir(spark)}/staged"
+    before, shuffles = set(os.listdir(folder)) if os.path.exists(folder) else set(), shuffle_files(spark)
+    frame = REGISTRY[name](spark, shop)
+    if left:
+        assert gone(spark, shuffle_files(spark) - shuffles)
+    assert {f.rsplit("-", 1)[0] for f in set(os.listdir(folder)) - before} == left
+    assert frame.count() == (8 if left else 20)
+
+
 def test_texts_are_those_of_the_order(spark, shop):
     rows = D.reviews(spark, shop, with_text=True)
     found = {(r.review_id, r.product_category): (r.txt_body_length, r.txt_caps_word_count, r.txt_exclamation_count, r.txt_sentiment) for r in rows.collect()}
