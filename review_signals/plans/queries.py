@@ -458,10 +458,8 @@ def review_features(spark, d):
 @query
 def train_history_features(spark, d):
     """All reviews, with the history of the training reviewers only: what a leak-free evaluation uses."""
-    rows = _measured(spark, d)
-    train = S.train_part(rows)
-    labeled = _labelled(rows, H.reviewer_history(train))
-    return rounded(X.review_features(labeled, products=H.product_history(train), keys_from=rows), *FEATURE_ROUNDING)
+    labeled, products = _described(spark, d, S.train_part)
+    return rounded(X.review_features(labeled, products=products), *FEATURE_ROUNDING)
 
 
 @query

@@ -81,7 +81,8 @@ def test_shuffles_of_a_step_go_with_its_end(spark, no_broadcast):
         spark.conf.unset(setting)
 
 
-@pytest.mark.parametrize("name, left", [("review_features", {"labelled", "products"}), ("feature_stddev", set())])
+@pytest.mark.parametrize("name, left", [("review_features", {"labelled", "products"}), ("train_history_features", {"labelled", "products"}),
+                                        ("feature_stddev", set())])
 def test_reviews_go_when_they_are_labelled(spark, shop, name, left):
     """Of the written steps only those stay that the result still reads; the reviews and earlier shuffles do not."""
     folder = f"{shared_dir(spark)}/staged"
