@@ -87,6 +87,20 @@ def test_levels_go_on_from_kept_nodes(spark, features):
     assert trees(model.stages[-1]) == trees(wanted)
 
 
+def test_nodes_are_kept_only_where_memory_has_room(spark, features, monkeypatch):
+    """Rows and nodes that memory can't hold would go to the disks; without nodes the trees are the same."""
+    assert M.room_to_keep(spark) > 1e9
+    settings = ForestSettings(trees=3, depth=4, partitions=2)
+    need, stages, kept, trees = M.training_bytes(600, 20, settings), M.training_stages, [], []
+    assert need == 600 * M.training_bytes(1, 20, settings) and M.training_bytes(1, 20, ForestSettings()) > 3 * 4 * 100 + 4 * 100
+    monkeypatch.setattr(M, "training_stages", lambda *given: kept.append(stages(*given)[-1].getCacheNodeIds()) or stages(*given))
+    for room in (need, need - 1):
+        monkeypatch.setattr(M, "room_to_keep", lambda _: room)
+        forest = M.train(features, settings).stages[-1]
+        trees.append([tree.toDebugString.split("\n", 1)[1] for tree in forest.trees])
+    assert kept == [True, False] and trees[0] == trees[1]
+
+
 def test_threshold_changes_the_verdict_only(features):
     model = M.train(features, SMALL)
     filled = features.fillna(0)
